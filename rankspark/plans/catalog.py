@@ -43,9 +43,21 @@ def test(spark: SparkSession, sf: str) -> DataFrame:
     return test_frame(search_log(spark, sf))
 
 
-def round_doubles(df: DataFrame) -> DataFrame:
-    return df.select(*[r6(F.col(f.name)).alias(f.name) if f.dataType.typeName() in ("double", "float")
-                       else F.col(f.name) for f in df.schema.fields])
+_INTEGRAL = ("byte", "short", "integer", "long")
 
 
-from . import queries_core  # noqa: E402,F401  (registers entries)
+def round_doubles(df: DataFrame) -> DataFrame:
+    """Output boundary: doubles rounded to 6 digits, integral types as BIGINT."""
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        if t in ("double", "float", "decimal"):
+            out.append(r6(F.col(f.name)).alias(f.name))
+        elif t in _INTEGRAL:
+            out.append(F.col(f.name).cast("long").alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+from . import queries_core, queries_rows  # noqa: E402,F401  (registers entries)
