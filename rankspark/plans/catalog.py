@@ -60,4 +60,4 @@ def round_doubles(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-from . import queries_core, queries_rows  # noqa: E402,F401  (registers entries)
+from . import queries_core, queries_rows, queries_within  # noqa: E402,F401  (registers entries)
