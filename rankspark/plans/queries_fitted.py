@@ -289,7 +289,7 @@ def _a2_sql():
     sel, joins = [], []
     for i, (c, b, n) in enumerate(_A2_SPECS):
         qs = ", ".join(str(j / n) for j in range(1, n))
-        ctes.append(f"e{i} AS (SELECT list_distinct(list_sort(quantile_cont(CAST({c} AS DOUBLE), [{qs}]))) AS edges FROM trx)")
+        ctes.append(f"e{i} AS (SELECT list_sort(list_distinct(quantile_cont(CAST({c} AS DOUBLE), [{qs}]))) AS edges FROM trx)")
         joins.append(f"CROSS JOIN e{i}")
         sel.append(f"CAST(CASE WHEN t.{c} IS NULL THEN -1 ELSE len(list_filter(e{i}.edges, lambda e: e <= CAST(t.{c} AS DOUBLE))) END AS BIGINT) AS {b}")
     return with_base(*ctes, select=f"SELECT t.row_id, {', '.join(sel)} FROM tex t {' '.join(joins)}")
