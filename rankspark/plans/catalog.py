@@ -60,4 +60,4 @@ def round_doubles(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-from . import queries_core, queries_rows, queries_within, queries_fitted, queries_eval, queries_eda  # noqa: E402,F401  (registers entries)
+from . import queries_core, queries_rows, queries_within, queries_fitted, queries_eval, queries_eda, queries_misc  # noqa: E402,F401  (registers entries)

@@ -157,7 +157,8 @@ def read_search_csv(spark: SparkSession, path: str, header_cols: list[str] | Non
     schema = SEARCH_LOG_SCHEMA
     if header_cols is None:
         header_cols = spark.read.option("header", True).csv(path).columns
-    fields = [f for f in schema.fields if f.name in set(header_cols)]
+    by_name = {f.name: f for f in schema.fields}
+    fields = [by_name.get(c, T.StructField(c, T.StringType())) for c in header_cols]  # header order
     return (spark.read.schema(T.StructType(fields)).option("header", True)
             .option("enforceSchema", False)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
