@@ -56,37 +56,42 @@ def group_stats(df: DataFrame, cols: list[str], group: str = GROUP_COL) -> DataF
 
 def add_within_search_features(df: DataFrame, cols: list[str] | None = None,
                                group: str = GROUP_COL) -> DataFrame:
-    """W1-W5 on every present base column (``RELATIVE_FEATURE_BASES``)."""
+    """W1-W5 on every present base column (``RELATIVE_FEATURE_BASES``).
+
+    Long form: the bases are unpivoted to (group, base, x) rows; one window
+    partition (group, base) with one sort gives every statistic and rank; the
+    result is pivoted back per ``row_id`` and joined to the rows once.  A hot
+    search is spread over as many partitions as there are bases, and the wide
+    frame is shuffled once instead of sorted 30 times.
+    """
     if group not in df.columns:
         raise ValueError(f"{group} column is required.")
     src = [c for c in (cols or RELATIVE_FEATURE_BASES) if c in df.columns]
     if not src:
         return df
-    stats = group_stats(df, src, group)
-    j = df.join(stats, group)
-    new = []
-    for c in src:
-        x = dbl(c)
-        mean, med = F.col(f"_{c}__mean"), F.col(f"_{c}__median")
-        mn, mx, n = F.col(f"_{c}__min"), F.col(f"_{c}__max"), F.col(f"_{c}__n")
-        std = F.when(F.col(f"_{c}__std") != 0, F.col(f"_{c}__std"))
-        w = _w(c, group)
-        r = F.rank().over(w)
-        ties = F.count(F.lit(1)).over(w.rangeBetween(Window.currentRow, Window.currentRow))
-        present = F.col(c).isNotNull()
-        new += [
-            (x - mean).alias(f"{c}_srch_mean_diff"),
-            (x - med).alias(f"{c}_srch_median_diff"),
-            (x - mn).alias(f"{c}_srch_min_diff"),
-            (x - mx).alias(f"{c}_srch_max_diff"),
-            safe_divide(x - mean, std, 0.0).alias(f"{c}_srch_zscore"),
-            F.when(present, (r + (ties - 1) / 2.0) / n).alias(f"{c}_srch_pct_rank"),
-            F.when(present, r.cast("double")).alias(f"{c}_srch_rank_asc"),
-            F.when(present, (n - r - ties + 2).cast("double")).alias(f"{c}_srch_rank_desc"),
-        ]
-    helper = [c for c in stats.columns if c != group]
-    out = j.select(*df.columns, *new).drop(*[h for h in helper if h in df.columns])
-    return add_best_in_search_flags(out)
+    pairs = F.array(*[F.struct(F.lit(i).alias("k"), dbl(c).alias("x")) for i, c in enumerate(src)])
+    long_ = df.select(group, ROW_ID, F.inline(pairs))
+    wg = Window.partitionBy(group, "k")
+    wo = wg.orderBy(F.col("x").asc_nulls_last())
+    x = F.col("x")
+    n = F.count(x).over(wg)
+    r = F.rank().over(wo)
+    ties = F.count(F.lit(1)).over(wo.rangeBetween(Window.currentRow, Window.currentRow))
+    mean = F.avg(x).over(wg)
+    std = F.stddev_samp(x).over(wg)
+    present = x.isNotNull()
+    feats = long_.select(
+        ROW_ID, "k",
+        (x - mean).alias("mean_diff"), (x - F.median(x).over(wg)).alias("median_diff"),
+        (x - F.min(x).over(wg)).alias("min_diff"), (x - F.max(x).over(wg)).alias("max_diff"),
+        safe_divide(x - mean, F.when(std != 0, std), 0.0).alias("zscore"),
+        F.when(present, (r + (ties - 1) / 2.0) / n).alias("pct_rank"),
+        F.when(present, r.cast("double")).alias("rank_asc"),
+        F.when(present, (n - r - ties + 2).cast("double")).alias("rank_desc"))
+    names = ["mean_diff", "median_diff", "min_diff", "max_diff", "zscore", "pct_rank", "rank_asc", "rank_desc"]
+    wide = feats.groupBy(ROW_ID).agg(*[F.max(F.when(F.col("k") == i, F.col(nm))).alias(f"{c}_srch_{nm}")
+                                       for i, c in enumerate(src) for nm in names])
+    return add_best_in_search_flags(df.join(wide, ROW_ID, "left"))
 
 
 def add_best_in_search_flags(df: DataFrame) -> DataFrame:

@@ -26,8 +26,8 @@ def _w_sql(x: str, n: str) -> dict[str, str]:
         f"{n}_srch_zscore": f"coalesce(({x} - avg({x}) OVER ({p})) / NULLIF(stddev_samp({x}) OVER ({p}), 0), 0)",
         f"{n}_srch_pct_rank": f"CASE WHEN {x} IS NOT NULL THEN (rank() OVER ({p} ORDER BY {x} ASC NULLS LAST) + "
                               f"(count(*) OVER ({p}, {x}) - 1) / 2.0) / count({x}) OVER ({p}) END",
-        f"{n}_srch_rank_asc": f"CASE WHEN {x} IS NOT NULL THEN rank() OVER ({p} ORDER BY {x} ASC NULLS LAST) END",
-        f"{n}_srch_rank_desc": f"CASE WHEN {x} IS NOT NULL THEN rank() OVER ({p} ORDER BY {x} DESC NULLS LAST) END",
+        f"{n}_srch_rank_asc": f"CASE WHEN {x} IS NOT NULL THEN CAST(rank() OVER ({p} ORDER BY {x} ASC NULLS LAST) AS DOUBLE) END",
+        f"{n}_srch_rank_desc": f"CASE WHEN {x} IS NOT NULL THEN CAST(rank() OVER ({p} ORDER BY {x} DESC NULLS LAST) AS DOUBLE) END",
     }
 
 
