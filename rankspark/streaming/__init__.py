@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only (no streams, watermarks, windows over
+event time or state); there is nothing to re-express with Structured
+Streaming here.
+"""
