@@ -89,8 +89,9 @@ def add_within_search_features(df: DataFrame, cols: list[str] | None = None,
         F.when(present, r.cast("double")).alias("rank_asc"),
         F.when(present, (n - r - ties + 2).cast("double")).alias("rank_desc"))
     names = ["mean_diff", "median_diff", "min_diff", "max_diff", "zscore", "pct_rank", "rank_asc", "rank_desc"]
-    wide = feats.groupBy(ROW_ID).agg(*[F.max(F.when(F.col("k") == i, F.col(nm))).alias(f"{c}_srch_{nm}")
-                                       for i, c in enumerate(src) for nm in names])
+    # two-phase pivot (PivotFirst): one aggregate per value column, not per (base, value)
+    piv = feats.groupBy(ROW_ID).pivot("k", list(range(len(src)))).agg(*[F.first(nm).alias(nm) for nm in names])
+    wide = piv.select(ROW_ID, *[F.col(f"{i}_{nm}").alias(f"{c}_srch_{nm}") for i, c in enumerate(src) for nm in names])
     return add_best_in_search_flags(df.join(wide, ROW_ID, "left"))
 
 
