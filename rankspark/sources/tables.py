@@ -135,13 +135,16 @@ def test_frame(log: DataFrame) -> DataFrame:
 def sample_by_groups(df: DataFrame, n_groups: int, seed: int, group: str = GROUP_COL) -> DataFrame:
     """Keep every row of ``n_groups`` pseudo-randomly chosen groups.
 
-    Groups are ranked by md5(id:seed); the top-n id set is a distributed
-    ``left_semi`` join, never collected.  n >= number of groups -> all rows.
+    Groups are ranked by md5(id:seed) with the distributed ``global_rank``;
+    the chosen id set is applied with a ``left_semi`` join, never collected.  n >= number of groups -> all rows.
     """
     if n_groups <= 0:
         return df
+    from ..operators.folds import global_rank
+
     ids = df.select(group).distinct()
-    chosen = ids.orderBy(md5_key(group, seed), group).limit(n_groups)
+    ranked = global_rank(ids, [md5_key(group, seed).asc(), F.col(group).asc()], "_sample_rank")
+    chosen = ranked.filter(F.col("_sample_rank") <= n_groups).select(group)
     return df.join(chosen, group, "left_semi")
 
 
