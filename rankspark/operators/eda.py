@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import dbl
 from ..specs import GROUP_COL
+from .fitted import with_globals
 
 
 def rates(prefix_rows: str = "rows") -> list[Column]:
@@ -96,12 +97,12 @@ def target_by_quantile(df: DataFrame, feature: str, q: int = 10) -> DataFrame:
     qs = [i / q for i in range(q + 1)]
     edges = df.agg(F.array_distinct(F.array_sort(F.percentile(x, F.array(*[F.lit(v) for v in qs])))).alias("_e"))
     total = df.agg(F.count(F.lit(1)).alias("_total"))
-    j = df.filter(x.isNotNull()).crossJoin(F.broadcast(edges))
+    j = df.filter(x.isNotNull()).transform(lambda _d: with_globals(_d, edges))
     b = F.greatest(F.lit(1), F.size(F.filter(F.col("_e"), lambda e: e < x)))
     j = j.withColumn("_b", b).filter(F.size("_e") >= 2)
     out = j.groupBy("_b").agg(F.first(F.col("_e")[F.col("_b") - 1]).alias("bucket_lo"),
                               F.first(F.col("_e")[F.col("_b")]).alias("bucket_hi"), *rates())
-    return out.crossJoin(F.broadcast(total)).select(
+    return out.transform(lambda _d: with_globals(_d, total)).select(
         F.lit(feature).alias("feature"), F.col("_b").alias("bucket"), "bucket_lo", "bucket_hi", "rows",
         "click_rate", "booking_rate", "relevance_mean", (F.col("rows") / F.col("_total")).alias("row_pct"))
 
@@ -122,6 +123,6 @@ def top_share(df: DataFrame, key: str, share: float = 0.1) -> DataFrame:
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
     ranked = global_rank(counts, [F.col("_c").desc(), F.col(key).asc()], "_r")
     stats = ranked.agg(F.count(F.lit(1)).alias("keys"), F.sum("_c").alias("_rows"))
-    j = ranked.crossJoin(F.broadcast(stats)).filter(F.col("_r") <= F.ceil(F.col("keys") * share))
+    j = ranked.transform(lambda _d: with_globals(_d, stats)).filter(F.col("_r") <= F.ceil(F.col("keys") * share))
     return j.groupBy("keys", "_rows").agg(F.count(F.lit(1)).alias("top_keys"), F.sum("_c").alias("_top")).select(
         F.lit(key).alias("key"), "keys", "top_keys", (F.col("_top") / F.col("_rows")).alias("top_share"))

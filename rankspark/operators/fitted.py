@@ -45,8 +45,12 @@ def lookup(df: DataFrame, table: DataFrame, key: str, defaults: dict[str, Column
 
 
 def with_globals(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Every row against a one-row statistics frame (broadcast, size 1)."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Every row against a one-row statistics frame.
+
+    Each statistic is a scalar subquery (``DataFrame.scalar``): computed once,
+    inlined as a value into the row expressions; Catalyst merges subqueries over
+    the same aggregate into one.  No join is planned."""
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
 # ---- A1 item numeric profiles ------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..specs import GROUP_COL, ROW_ID, TARGET_COL
+from .fitted import with_globals
 
 
 def _gain(rel: Column) -> Column:
@@ -99,10 +100,10 @@ def popularity_score(fit: DataFrame, apply: DataFrame, key: str = "prop_id",
     glob = fit.agg(F.avg(F.col(rel).cast("double")).alias("_global"))
     table = fit.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
                                  F.avg(F.col(rel).cast("double")).alias("_mean"))
-    table = table.crossJoin(F.broadcast(glob)).select(
+    table = table.transform(lambda _d: with_globals(_d, glob)).select(
         key, ((F.col("_mean") * F.col("_n") + F.col("_global") * alpha)
               / (F.col("_n") + alpha)).alias(name))
-    out = apply.join(table, key, "left").crossJoin(F.broadcast(glob))
+    out = apply.join(table, key, "left").transform(lambda _d: with_globals(_d, glob))
     return out.withColumn(name, F.coalesce(F.col(name), F.col("_global"))).drop("_global")
 
 

@@ -168,7 +168,7 @@ def position_fit_source(fit: DataFrame) -> DataFrame:
     if "random_bool" not in base.columns:
         return base
     any_nr = base.agg(F.max(flag(F.col("random_bool") == 0)).alias("_any_nr"))
-    return (base.crossJoin(F.broadcast(any_nr))
+    return (base.select("*", any_nr.scalar().alias("_any_nr"))  # one-row statistic as a scalar subquery
             .filter((F.coalesce(F.col("_any_nr"), F.lit(0)) == 0) | (F.col("random_bool") == 0))
             .drop("_any_nr"))
 

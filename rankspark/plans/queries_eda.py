@@ -11,6 +11,7 @@ from ..sources.tables import TRAIN_ONLY_RAW
 from .catalog import register, round_doubles, test, train
 from .oracle import with_base
 from .queries_rows import RAW_COLS
+from ..operators.fitted import with_globals
 
 COMMON = [c for c in RAW_COLS if c not in TRAIN_ONLY_RAW]
 CORE_NUMERIC = ["price_usd", "prop_starrating", "prop_review_score", "prop_location_score1", "prop_location_score2",
@@ -83,7 +84,7 @@ def d4_label_summary(spark, sf):
 def d5_relevance_counts(spark, sf):
     t = train(spark, sf)
     n = t.agg(F.count(F.lit(1)).alias("_n"))
-    out = t.groupBy("relevance").agg(F.count(F.lit(1)).alias("rows")).crossJoin(F.broadcast(n))
+    out = t.groupBy("relevance").agg(F.count(F.lit(1)).alias("rows")).transform(lambda _d: with_globals(_d, n))
     return round_doubles(out.select("relevance", "rows", (F.col("rows") * 100.0 / F.col("_n")).alias("row_pct")))
 
 
@@ -142,7 +143,7 @@ def d9_query_label_patterns(spark, sf):
     sl = eda.search_labels(train(spark, sf))
     n = sl.agg(F.count(F.lit(1)).alias("_n"))
     p = F.when(F.col("bookings") > 0, "has_booking").when(F.col("clicks") > 0, "click_only").otherwise("no_positive_label")
-    out = sl.groupBy(p.alias("query_label_pattern")).agg(F.count(F.lit(1)).alias("searches")).crossJoin(F.broadcast(n))
+    out = sl.groupBy(p.alias("query_label_pattern")).agg(F.count(F.lit(1)).alias("searches")).transform(lambda _d: with_globals(_d, n))
     return round_doubles(out.select("query_label_pattern", "searches", (F.col("searches") / F.col("_n")).alias("pct_searches")))
 
 
@@ -151,7 +152,7 @@ def d9_query_label_patterns(spark, sf):
 def d10_candidate_count_distribution(spark, sf):
     sl = eda.search_labels(train(spark, sf))
     n = sl.agg(F.count(F.lit(1)).alias("_n"))
-    out = sl.groupBy("candidates").agg(F.count(F.lit(1)).alias("searches")).crossJoin(F.broadcast(n))
+    out = sl.groupBy("candidates").agg(F.count(F.lit(1)).alias("searches")).transform(lambda _d: with_globals(_d, n))
     return round_doubles(out.select("candidates", "searches", (F.col("searches") / F.col("_n")).alias("pct_searches")))
 
 
@@ -164,7 +165,7 @@ def d10_candidate_count_distribution(spark, sf):
 def d11_position_summary(spark, sf):
     t = train(spark, sf)
     n = t.agg(F.count(F.lit(1)).alias("_n"))
-    out = t.groupBy("position").agg(*eda.rates(), F.avg(dbl("random_bool")).alias("randomized_pct")).crossJoin(F.broadcast(n))
+    out = t.groupBy("position").agg(*eda.rates(), F.avg(dbl("random_bool")).alias("randomized_pct")).transform(lambda _d: with_globals(_d, n))
     return round_doubles(out.withColumn("row_pct", F.col("rows") / F.col("_n")).drop("_n"))
 
 
@@ -226,7 +227,7 @@ def d15_competitor_missingness(spark, sf):
             return s / len(cs) * 100
         a = tr.agg(fam(tr).alias("train_missing_pct_mean"))
         b = te.agg(fam(te).alias("test_missing_pct_mean"))
-        parts.append(a.crossJoin(b).select(F.lit(k).alias("feature_type"), F.lit(len(cs)).cast("long").alias("columns"), "*"))
+        parts.append(with_globals(a, b).select(F.lit(k).alias("feature_type"), F.lit(len(cs)).cast("long").alias("columns"), "*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -272,10 +273,12 @@ def d17_u3_id_coverage(spark, sf):
     for c in ID_COLS:
         a = tr.select(c).filter(F.col(c).isNotNull()).distinct()
         b = te.select(c).filter(F.col(c).isNotNull()).distinct()
-        row = (a.agg(F.count(F.lit(1)).alias("train_unique"))
-               .crossJoin(b.agg(F.count(F.lit(1)).alias("test_unique")))
-               .crossJoin(b.join(a, c, "left_anti").agg(F.count(F.lit(1)).alias("test_unseen_in_train")))
-               .crossJoin(a.join(b, c, "left_anti").agg(F.count(F.lit(1)).alias("train_absent_in_test"))))
+        stats = [b.agg(F.count(F.lit(1)).alias("test_unique")),
+                 b.join(a, c, "left_anti").agg(F.count(F.lit(1)).alias("test_unseen_in_train")),
+                 a.join(b, c, "left_anti").agg(F.count(F.lit(1)).alias("train_absent_in_test"))]
+        row = a.agg(F.count(F.lit(1)).alias("train_unique"))
+        for st in stats:
+            row = with_globals(row, st)
         row = row.select(F.lit(c).alias("column_name"), "*",
                          (F.col("test_unseen_in_train") / F.greatest(F.col("test_unique"), F.lit(1))).alias("test_unseen_pct"))
         out = row if out is None else out.unionByName(row)
@@ -403,7 +406,7 @@ def d24_target_by_segment(spark, sf):
     stack = "stack(8, " + ", ".join(f"'{k}', `{k}`" for k in exprs) + ") AS (segment_col, value)"
     long_ = wide.selectExpr("click_bool", "booking_bool", "relevance", stack)
     n = t.agg(F.count(F.lit(1)).alias("_n"))
-    out = long_.groupBy("segment_col", "value").agg(*eda.rates()).crossJoin(F.broadcast(n))
+    out = long_.groupBy("segment_col", "value").agg(*eda.rates()).transform(lambda _d: with_globals(_d, n))
     return round_doubles(out.withColumn("row_pct", F.col("rows") / F.col("_n")).drop("_n"))
 
 
@@ -490,7 +493,7 @@ def d29_test_key_coverage(spark, sf):
         agg_keys = eda.label_aggregate(tr, keys, mn).select(*keys)
         tk = te.select(*keys).distinct()
         part = (tk.join(agg_keys, keys, "left_semi").agg(F.count(F.lit(1)).alias("_hit"))
-                .crossJoin(tk.agg(F.count(F.lit(1)).alias("_all")))
+                .transform(lambda _d: with_globals(_d, tk.agg(F.count(F.lit(1)).alias("_all"))))
                 .select(F.lit(name).alias("key_type"), (F.col("_hit") / F.greatest(F.col("_all"), F.lit(1))).alias("coverage")))
         out = part if out is None else out.unionByName(part)
     return round_doubles(out)
@@ -509,7 +512,7 @@ def d31_dataset_summary(spark, sf):
                F.avg(dbl("booking_bool")).alias("booking_rate"))
     b = te.agg(F.count(F.lit(1)).alias("test_rows"), F.countDistinct("srch_id").alias("test_searches"),
                F.countDistinct("prop_id").alias("test_properties"))
-    j = a.crossJoin(b)
+    j = with_globals(a, b)
     return round_doubles(j.withColumn("avg_candidates_per_train_search", F.col("train_rows") / F.col("train_searches")))
 
 
@@ -550,7 +553,7 @@ def d34_inverse_propensity_weights(spark, sf):
     pr = t.groupBy("position").agg(F.count(F.lit(1)).alias("rows"), F.avg(dbl("booking_bool")).alias("booking_rate"),
                                    F.avg(dbl("click_bool")).alias("click_rate"))
     norm = pr.filter(F.col("click_rate") > 0).agg(F.avg(1.0 / F.col("click_rate")).alias("_m"))
-    out = pr.crossJoin(F.broadcast(norm)).withColumn(
+    out = pr.transform(lambda _d: with_globals(_d, norm)).withColumn(
         "ipw", F.when(F.col("click_rate") > 0, (1.0 / F.col("click_rate")) / F.col("_m"))).drop("_m")
     return round_doubles(out)
 

@@ -8,6 +8,7 @@ from ..operators import blend, folds as fo, metrics
 from .catalog import labeled, register, round_doubles
 from .oracle import ndcg_ctes, with_base
 from .queries_fitted import _FOLD_CTE
+from ..operators.fitted import with_globals
 
 
 def _u(seed: int):
@@ -54,7 +55,7 @@ def e2_mean_ndcg(spark, sf):
     a = metrics.mean_ndcg(df, "s_a", name="ndcg_s_a").select("ndcg_s_a")
     b = metrics.mean_ndcg(df, "s_b", name="ndcg_s_b").select("ndcg_s_b")
     c = metrics.mean_ndcg(df, "s_c", name="ndcg_s_c").select("ndcg_s_c")
-    return round_doubles(a.crossJoin(b).crossJoin(c))
+    return round_doubles(with_globals(with_globals(a, b), c))
 
 
 _VAL = [
