@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/object store) on a cluster")
     local = tempfile.mkdtemp(prefix="rankspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
