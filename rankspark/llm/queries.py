@@ -2,18 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rankspark.llm.bpecount import token_counts
 from rankspark.llm.common import table
 from rankspark.llm.simhash import near_duplicates
+from rankspark.llm.topk import top_k
+
+
+def op4_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")) \
+        .select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4, seed=42)
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
 QUERIES = {
+    "op4_bpe_counts": op4_bpe_counts,
     "op8_simhash": op8_simhash,
+    "op10_topk": op10_topk,
 }
 
-ORACLES: dict[str, str] = {}
+_OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
+ORACLES: dict[str, str] = {"op10_topk": _OP10}
