@@ -9,6 +9,7 @@ from rankspark.llm.bpecount import token_counts
 from rankspark.llm.common import table
 from rankspark.llm.simhash import near_duplicates
 from rankspark.llm.topk import top_k
+from rankspark.llm.toxicity import learn, scored
 
 
 def op4_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,11 @@ def op4_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, learn(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4, seed=42)
 
@@ -26,6 +32,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_bpe_counts": op4_bpe_counts,
+    "op5_toxicity": op5_toxicity,
     "op8_simhash": op8_simhash,
     "op10_topk": op10_topk,
 }
