@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rankspark.llm.bpecount import token_counts
 from rankspark.llm.common import table
+from rankspark.llm.mixing import mix
 from rankspark.llm.simhash import near_duplicates
 from rankspark.llm.topk import top_k
 from rankspark.llm.toxicity import learn, scored
@@ -22,6 +23,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, learn(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4, seed=42)
 
@@ -33,6 +38,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_bpe_counts": op4_bpe_counts,
     "op5_toxicity": op5_toxicity,
+    "op6_mix": op6_mix,
     "op8_simhash": op8_simhash,
     "op10_topk": op10_topk,
 }
