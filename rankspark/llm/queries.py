@@ -11,6 +11,12 @@ from rankspark.llm.mixing import mix
 from rankspark.llm.simhash import near_duplicates
 from rankspark.llm.topk import top_k
 from rankspark.llm.toxicity import learn, scored
+from rankspark.llm.warc import capture_index
+
+
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capture_index(table(spark, sf_dir, "pages"), least=0) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +42,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_index": op1_warc_index,
     "op4_bpe_counts": op4_bpe_counts,
     "op5_toxicity": op5_toxicity,
     "op6_mix": op6_mix,
@@ -45,14 +52,25 @@ QUERIES = {
 
 _OP10 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
-ORACLES: dict[str, str] = {"op10_topk": _OP10}
+# base32 of the SHA-1: five hex digits are four base32 digits
+_OP1 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d"""
+
+ORACLES: dict[str, str] = {"op1_warc_index": _OP1, "op10_topk": _OP10}
