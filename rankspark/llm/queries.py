@@ -9,6 +9,7 @@ from rankspark.llm.bpecount import token_counts
 from rankspark.llm.common import table
 from rankspark.llm.mixing import mix
 from rankspark.llm.simhash import near_duplicates
+from rankspark.llm.suffixdedup import dedup_report
 from rankspark.llm.topk import top_k
 from rankspark.llm.toxicity import learn, scored
 from rankspark.llm.warc import capture_index
@@ -33,6 +34,10 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_report(table(spark, sf_dir, "documents"), length=50)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4, seed=42)
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op4_bpe_counts": op4_bpe_counts,
     "op5_toxicity": op5_toxicity,
     "op6_mix": op6_mix,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash": op8_simhash,
     "op10_topk": op10_topk,
 }
