@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rankspark.llm.bpecount import token_counts
 from rankspark.llm.common import table
+from rankspark.llm.decontam import leak_pairs
 from rankspark.llm.mixing import mix
 from rankspark.llm.simhash import near_duplicates
 from rankspark.llm.suffixdedup import dedup_report
@@ -20,6 +21,10 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")) \
         .select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -48,6 +53,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_index": op1_warc_index,
+    "op2_decontaminate": op2_decontaminate,
     "op4_bpe_counts": op4_bpe_counts,
     "op5_toxicity": op5_toxicity,
     "op6_mix": op6_mix,
