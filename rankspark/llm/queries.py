@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankspark.llm.bpecount import token_counts
 from rankspark.llm.common import table
@@ -11,6 +12,7 @@ from rankspark.llm.decontam import leak_pairs
 from rankspark.llm.mixing import mix
 from rankspark.llm.simhash import near_duplicates
 from rankspark.llm.suffixdedup import dedup_report
+from rankspark.llm.toolcalls import CHAT_SCHEMAS, SCHEMA, conversation_calls, link
 from rankspark.llm.topk import top_k
 from rankspark.llm.toxicity import learn, scored
 from rankspark.llm.warc import capture_index
@@ -47,6 +49,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4, seed=42)
 
 
+def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = conversation_calls(table(spark, sf_dir, "conversations"))
+    return link(calls, results, spark.createDataFrame(CHAT_SCHEMAS, SCHEMA)) \
+        .select("conv_id", "call_id", "turn", "level", "linked", "valid", F.array_join("errors", ";").alias("errors"), "canonical")
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
 
@@ -59,6 +67,7 @@ QUERIES = {
     "op6_mix": op6_mix,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash": op8_simhash,
+    "op9_tool_calls": op9_tool_calls,
     "op10_topk": op10_topk,
 }
 
@@ -85,4 +94,31 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
   CASE WHEN page_id <> top THEN top END AS refers_to
 FROM d"""
 
-ORACLES: dict[str, str] = {"op1_warc_index": _OP1, "op10_topk": _OP10}
+# Turns of a conversation without repeats: each call's level counts the calls that lead to it.
+_OP9 = """
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, role, text FROM conversations WHERE role IN ('user', 'system') AND conv_id IS NOT NULL AND turn IS NOT NULL),
+walk AS (
+  SELECT conv_id, turn, 0 AS level FROM c a
+  UNION
+  SELECT c.conv_id, c.turn, walk.level + 1 FROM walk JOIN c ON c.conv_id = walk.conv_id AND c.turn IN (walk.turn + 1, walk.turn + 2)),
+l AS (SELECT conv_id, turn, max(level) AS level FROM walk GROUP BY 1, 2),
+r AS (SELECT conv_id, turn - 1 AS turn, turn AS own, text, true AS linked FROM conversations WHERE role = 'assistant'),
+j AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS ref, coalesce(c.turn, r.own) AS turn, l.level, c.role, c.text,
+    c.role IS NOT NULL AS called, coalesce(r.linked, false) AS found, r.text AS result
+  FROM (c JOIN l USING (conv_id, turn)) FULL JOIN r ON c.conv_id = r.conv_id AND c.turn = r.turn),
+e AS (SELECT *, CASE WHEN NOT called THEN 'result: no call' WHEN NOT found THEN 'result: missing' ELSE '' END AS errors FROM j)
+SELECT conv_id, conv_id || ':' || ref AS call_id, turn, level, called AND found AS linked, errors <> 'result: no call' AS valid, errors,
+  '{' || CASE WHEN called THEN '"arguments":' || CASE WHEN role = 'user' THEN '{"prompt":' || to_json(text) || ',"turn":' || turn || '}'
+      ELSE '{"instructions":' || to_json(text) || '}' END || ',' ELSE '' END
+    || '"call_id":"' || conv_id || ':' || ref || '","conv_id":' || conv_id
+    || CASE WHEN called THEN ',"depends_on":[' || CASE WHEN CAST(conv_id || ':' || (turn - 2) AS VARCHAR) < conv_id || ':' || (turn - 1)
+        THEN '"' || conv_id || ':' || (turn - 2) || '","' || conv_id || ':' || (turn - 1) || '"'
+        ELSE '"' || conv_id || ':' || (turn - 1) || '","' || conv_id || ':' || (turn - 2) || '"' END || ']' ELSE '' END
+    || ',"errors":[' || CASE WHEN errors = '' THEN '' ELSE '"' || errors || '"' END || ']'
+    || CASE WHEN called THEN ',"level":' || level || ',"name":"' || CASE WHEN role = 'user' THEN 'reply' ELSE 'configure' END || '"' ELSE '' END
+    || CASE WHEN found THEN ',"result":' || to_json(result) ELSE '' END || ',"turn":' || turn || '}' AS canonical
+FROM e"""
+
+ORACLES: dict[str, str] = {"op1_warc_index": _OP1, "op9_tool_calls": _OP9, "op10_topk": _OP10}
