@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rankspark.llm.bpecount import token_counts
 from rankspark.llm.common import table
 from rankspark.llm.decontam import leak_pairs
+from rankspark.llm.lmscore import score
 from rankspark.llm.mixing import mix
 from rankspark.llm.simhash import near_duplicates
 from rankspark.llm.suffixdedup import dedup_report
@@ -27,6 +28,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")) \
         .select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -62,6 +67,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op2_decontaminate": op2_decontaminate,
+    "op3_lm_score": op3_lm_score,
     "op4_bpe_counts": op4_bpe_counts,
     "op5_toxicity": op5_toxicity,
     "op6_mix": op6_mix,
