@@ -58,13 +58,15 @@ def simhash(data: bytes, size: int = 4, seed: int = 42) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, seed: int = 42) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (signed 64-bit)."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, seed: int = 42,
+                 mark: bool = False) -> DataFrame:
+    """One row per document: ``doc_id``, ``fp`` (signed 64-bit) and, where asked for, ``mark``, a hash of the text as it is."""
     @F.pandas_udf("long")
     def fp(data: pd.Series) -> pd.Series:
         return pd.Series([simhash(x, size, seed) for x in data], dtype="int64")
 
-    return docs.select(F.col(id_col).alias("doc_id"), fp(as_bytes(text_col)).alias("fp"))
+    return docs.select(F.col(id_col).alias("doc_id"), fp(as_bytes(text_col)).alias("fp"),
+                       *([F.xxhash64(as_bytes(text_col)).alias("mark")] if mark else []))
 
 
 def block_keys(radius: int, spare: int) -> list[tuple[int, list[int]]]:
@@ -206,12 +208,13 @@ def links(fps: DataFrame, radius: int = 4, spare: int = 2, shard_rows: int = 204
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = 4,
-                    seed: int = 42) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every document (see the module's text)."""
-    per_doc = stored(fingerprints(docs, id_col, text_col, size, seed), "simhash")
+                    seed: int = 42, mark: bool = False) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every document (see the module's text), and ``mark`` where asked for."""
+    per_doc = stored(fingerprints(docs, id_col, text_col, size, seed, mark), "simhash")
     fps = stored(per_doc.groupBy("fp").agg(F.min("doc_id").alias("low")), "fps")
     roots = components(links(fps, radius))
     rooted = fps.join(roots, fps.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     of = rooted.join(lowest, "root").select("fp", "component_id")
-    return per_doc.join(of, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return per_doc.join(of, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+                                                     *(["mark"] if mark else []))
