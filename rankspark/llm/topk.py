@@ -5,22 +5,26 @@ into ``nodes`` blocks of components.  A node knows one addend of each score,
 the inner product over its own components.
 
 1. Every node sends, for each query, its ``k`` highest addends and its lowest
-   one.  Unknown addends count as the lowest, which bounds scores from below;
-   the k-th highest bound of a query is its first cutoff.
+   one.  The whole scores of these few vectors are looked up; the k-th highest
+   is a safe cutoff of the query.
 2. Every node gets the cutoff's equal share (above the lowest addend) and
    sends all addends that reach it.  A score that reaches the cutoff has at
    least one such addend, so no result is missed.  Bounds with these entries
    give a higher cutoff; what can't reach it goes.
 3. Scores of which an addend is still unknown are resolved from the vectors.
 
+Of equal vectors only the ``k + 1`` smallest ids can be among a query's best;
+the others are no candidates, so a vector that very many rows share costs no
+more than one that few do.  All of them are queries where their id says so.
+
 Queries are the stated set of rows whose id is divisible by ``every``; they
 meet the shards in blocks of ``pack`` queries.  What is sent to a shard's
 tasks is such blocks, never all queries.
 
 Vectors that are null or hold a null, NaN or infinite component take no part,
 nor do rows without an id.  Shorter vectors count as padded with zeros.
-Repeated rows of one id and vector count once; a query's own id is never its
-candidate.  Ties go to the smaller id; an empty table gives an empty result.
+Of several rows with one id the one with the least vector counts; a query's
+own id is never its candidate.  Ties go to the smaller id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -60,10 +64,6 @@ def _packs(df: DataFrame, rows: int, nodes: int, dims: int, n: int) -> DataFrame
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def give(part):
             ids, mat = part["vec_id"].to_numpy(np.int64), _matrix(part["vec"], dims)
-            # repeated rows share a hash partition and are neighbours in its order
-            new = np.ones(len(ids), bool)
-            new[1:] = (ids[1:] != ids[:-1]) | (mat[1:] != mat[:-1]).any(axis=1)
-            ids, mat = ids[new], mat[new]
             return pd.DataFrame([(0, b, ids.tobytes(), np.ascontiguousarray(mat[:, cuts[b]:cuts[b + 1]]).tobytes(), cuts[b + 1] - cuts[b])
                                  for b in range(nodes)], columns=["shard", "block", "ids", "mat", "dims"])
 
@@ -71,19 +71,12 @@ def _packs(df: DataFrame, rows: int, nodes: int, dims: int, n: int) -> DataFrame
         for b in batches:
             held = b if held is None else pd.concat([held, b], ignore_index=True)
             while len(held) > rows:
-                same = held["vec_id"].to_numpy()
-                cut = rows
-                while cut < len(held) and same[cut] == same[cut - 1]:  # one id stays in one pack
-                    cut += 1
-                if cut == len(held):
-                    break
-                yield give(held[:cut])
-                held = held[cut:].reset_index(drop=True)
+                yield give(held[:rows])
+                held = held[rows:].reset_index(drop=True)
         if held is not None and len(held):
             yield give(held)
 
-    dealt = df.repartition(n, "vec_id").sortWithinPartitions("vec_id", "vec")
-    packs = dealt.mapInPandas(run, PACK).withColumn("at", F.floor(F.monotonically_increasing_id() / F.lit(nodes)))
+    packs = df.repartition(n, "vec_id").sortWithinPartitions("vec_id").mapInPandas(run, PACK).withColumn("at", F.floor(F.monotonically_increasing_id() / F.lit(nodes)))
     return packs
 
 
@@ -153,9 +146,11 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
     """``query_id, rank, vec_id, score`` of each query's ``k`` highest scores."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vecs = stored(quantised(df, id_col, vec_col, scale), "vectors")
-    dims = vecs.agg(F.max(F.size("vec"))).first()[0] or 0
-    asked = vecs.where(F.col("vec_id") % every == 0)
+    rows = stored(quantised(df, id_col, vec_col, scale).groupBy("vec_id").agg(F.min("vec").alias("vec")), "rows")
+    dims = rows.agg(F.max(F.size("vec"))).first()[0] or 0
+    asked = rows.where(F.col("vec_id") % every == 0)
+    alike = Window.partitionBy("vec").orderBy("vec_id")
+    vecs = stored(rows.withColumn("rn", F.row_number().over(alike)).where(F.col("rn") <= k + 1).drop("rn"), "vectors")
     shards, n_shards = _numbered(_packs(vecs, shard_rows, nodes, dims, n), "shards")
     asks, _ = _numbered(_packs(asked, pack, nodes, dims, n), "asks")
     spread = F.explode(F.sequence(F.lit(0), F.lit(max(n_shards - 1, 0)))).alias("shard")
@@ -168,30 +163,31 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
     floor = stored(lows.groupBy("query_id").agg(F.sum("low").alias("base"), F.map_from_entries(
         F.collect_list(F.struct("block", "low"))).alias("lows")), "floors")
 
-    def bounds(entries: DataFrame) -> DataFrame:
-        """Sums of the known addends above their lowest, and what is known."""
-        return entries.groupBy("query_id", "vec_id").agg(F.sum("part").alias("known"), F.collect_set("block").alias("blocks")) \
-            .join(floor, "query_id") \
-            .withColumn("low", F.col("known") + F.col("base") - F.aggregate("blocks", F.lit(0).cast("long"), lambda s, b: s + F.col("lows")[b]))
+    asked_for = asked.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q"))
+
+    def resolved(pairs: DataFrame) -> DataFrame:
+        """Whole scores of (query_id, vec_id) pairs, from the vectors."""
+        return pairs.select("query_id", "vec_id").join(vecs, "vec_id").join(asked_for, "query_id") \
+            .select("query_id", "vec_id", F.aggregate(F.zip_with("q", "vec", lambda a, b: F.coalesce(a * b, F.lit(0).cast("long"))),
+                                                      F.lit(0).cast("long"), lambda s, x: s + x).alias("score"))
 
-    tau1 = _kth(bounds(local.where("vec_id is not null").dropDuplicates(["query_id", "vec_id", "block"])).select("query_id", "vec_id", "low"), k)
+    tau1 = _kth(resolved(local.where("vec_id is not null").select("query_id", "vec_id").distinct()).withColumnRenamed("score", "low"), k)
     # least share of the cutoff above the lowest addends that some node must reach; everything, where there are fewer than k
     cuts = stored(floor.join(tau1, "query_id", "left").select(
         "query_id", F.coalesce(F.ceil((F.col("tau") - F.col("base")) / F.lit(nodes)).cast("long"), F.lit(-1)).alias("share")), "cuts")
     with_cut = asks.join(_cut_arrays(asks, floor.join(cuts, "query_id")), ["shard", "block"]).drop("shard")
     sent = stored(meet(with_cut, ["cuts"]).mapInPandas(_second, "query_id long, block int, vec_id long, part long"), "second")
-    known = stored(bounds(sent.dropDuplicates(["query_id", "vec_id", "block"])).join(cuts, "query_id")
-                   .select("query_id", "vec_id", "known", "low", F.size("blocks").alias("m"),
-                           (F.col("low") + (F.lit(nodes) - F.size("blocks")) * F.col("share")).alias("high")), "known")
-    tau2 = _kth(known.select("query_id", "vec_id", "low"), k)
-    live = known.join(tau2, "query_id", "left").where(F.col("tau").isNull() | (F.col("high") >= F.col("tau")))
+    # unknown addends are below the share, which bounds scores from above, and no less than the lowest, from below
+    missing = F.lit(nodes) - F.col("m")
+    known = stored(sent.groupBy("query_id", "vec_id").agg(F.sum("part").alias("known"), F.count("*").alias("m"), F.collect_list("block").alias("blocks"))
+                   .join(floor.join(cuts, "query_id"), "query_id")
+                   .withColumn("low", F.col("known") + F.col("base") - F.aggregate("blocks", F.lit(0).cast("long"), lambda s, b: s + F.col("lows")[b]))
+                   .select("query_id", "vec_id", "known", "low", "m", (F.col("low") + missing * F.col("share")).alias("high")), "known")
+    tau2 = _kth(known.select("query_id", "vec_id", "low"), k).withColumnRenamed("tau", "tau2")
+    live = known.join(tau1, "query_id", "left").join(tau2, "query_id", "left") \
+        .where(F.coalesce(F.col("high") >= F.greatest("tau", "tau2"), F.lit(True)))
     done = live.where(F.col("m") == nodes).select("query_id", "vec_id", F.col("known").alias("score"))
-    one = vecs.dropDuplicates(["vec_id", "vec"])
-    open_ = live.where(F.col("m") < nodes).select("query_id", "vec_id") \
-        .join(one.select("vec_id", "vec"), "vec_id") \
-        .join(asked.dropDuplicates(["vec_id", "vec"]).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q")), "query_id") \
-        .select("query_id", "vec_id", F.aggregate(F.zip_with("q", "vec", lambda a, b: F.coalesce(a * b, F.lit(0).cast("long"))),
-                                                  F.lit(0).cast("long"), lambda s, x: s + x).alias("score"))
+    open_ = resolved(live.where(F.col("m") < nodes))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return done.union(open_).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -8,8 +8,11 @@ from rankspark.llm.topk import top_k
 
 
 def brute(rows, k=5, every=50):
-    good = sorted({(i, tuple(math.floor(256 * float(x)) for x in v)) for i, v in rows
-                   if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)})
+    good = {}
+    for i, v in sorted({(i, tuple(math.floor(256 * float(x)) for x in v)) for i, v in rows
+                   if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}):
+        good.setdefault(i, v)
+    good = sorted(good.items())
     out = []
     for qi, q in good:
         if qi % every:
@@ -30,10 +33,17 @@ def test_sample_against_brute_force(spark, nodes, shard_rows, pack):
 def test_nulls_ties_repeats_and_few_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, -0.5]), (50, [1.0, -0.5]), (1, [1.0, -0.5]), (2, [0.1, None]), (3, None), (4, [nan, 1.0]), (5, [inf, 0.0]),
-            (6, [0.3]), (7, []), (None, [1.0, 1.0]), (1, [1.0, -0.5]), (8, [-1.0, 9.0])]
+            (6, [0.3]), (7, []), (None, [1.0, 1.0]), (1, [1.0, -0.5]), (8, [-1.0, 9.0]), (8, [2.0, 9.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
     assert sorted(map(tuple, top_k(df).collect())) == brute(rows)
 
 
+def test_a_vector_that_very_many_rows_share(spark):
+    rows = [(i, [0.5, 0.25, -0.1] if i % 3 else [0.1 * (i % 7), 0.2, 0.3]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert sorted(map(tuple, top_k(df, every=40, shard_rows=64).collect())) == brute(rows, every=40)
+
+
 def test_empty(spark):
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
