@@ -13,17 +13,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_or", "safe_divide", "finite_or_zero", "clip_lower", "ne_true",
+    "safe_divide", "finite_or_zero", "clip_lower", "ne_true",
     "flag", "nan_to_null", "r6", "md5_key", "count_true", "null_count",
     "row_mean", "row_std", "dbl",
 ]
 
 
-def col_or(df_cols: Iterable[str], name: str, default) -> Column:
-    """Column if present, else a literal (operators skip missing sources)."""
-    return F.col(name) if name in set(df_cols) else F.lit(default)
-
-
 def dbl(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("double")
@@ -60,7 +55,8 @@ def nan_to_null(c: Column) -> Column:
 
 
 def r6(c: Column, digits: int = 6) -> Column:
-    return F.round(dbl(c), digits)
+    """Round by way of ten decimal digits: noise of a sum's order can't turn a tie."""
+    return F.round(dbl(c).try_cast("decimal(38,10)"), digits).cast("double")
 
 
 def md5_key(c: Column | str, seed: int) -> Column:

@@ -47,10 +47,11 @@ def lookup(df: DataFrame, table: DataFrame, key: str, defaults: dict[str, Column
 def with_globals(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Every row against a one-row statistics frame.
 
-    Each statistic is a scalar subquery (``DataFrame.scalar``): computed once,
-    inlined as a value into the row expressions; Catalyst merges subqueries over
-    the same aggregate into one.  No join is planned."""
-    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
+    The statistics are one struct and so one scalar subquery, planned and run
+    once; its fields are inlined as values into the row expressions.  No join
+    is planned."""
+    g = one_row.select(F.struct(*one_row.columns).alias("_g")).scalar()
+    return df.withColumn("_globals", g).select(*df.columns, *[F.col("_globals")[c].alias(c) for c in one_row.columns])
 
 
 # ---- A1 item numeric profiles ------------------------------------------------
@@ -100,33 +101,35 @@ def add_prop_numeric_profiles(fit: DataFrame, apply: DataFrame) -> tuple[DataFra
 
 
 # ---- A2 / J7 quantile buckets -------------------------------------------------
-def bucket_edges(fit: DataFrame, col: str, n_bins: int) -> DataFrame:
-    """A2: one-row frame with sorted distinct interior quantile edges (exact,
-    linear interpolation), ``edges`` = [] when the column has no values."""
-    qs = [i / n_bins for i in range(1, n_bins)]
-    x = dbl(col)
-    pct = F.percentile(x, F.array(*[F.lit(q) for q in qs]))
-    return fit.agg(F.coalesce(F.array_distinct(F.array_sort(pct)), F.array().cast("array<double>")).alias("edges"))
+def bucket_edges(fit: DataFrame, specs=BUCKET_SOURCE_SPECS) -> DataFrame:
+    """A2: one-row frame with, for each spec, the sorted distinct interior quantile
+    edges (exact, linear interpolation); [] when the column has no values."""
+    def edges(col: str, n_bins: int) -> Column:
+        qs = [i / n_bins for i in range(1, n_bins)]
+        pct = F.percentile(dbl(col), F.array(*[F.lit(q) for q in qs]))
+        return F.coalesce(F.array_distinct(F.array_sort(pct)), F.array().cast("array<double>"))
 
+    return fit.agg(*[edges(c, n).alias(f"_edges_{b}") for c, b, n in specs])
 
-def apply_buckets(df: DataFrame, col: str, bucket_col: str, edges: DataFrame) -> DataFrame:
+
+def apply_buckets(df: DataFrame, specs, edges: DataFrame) -> DataFrame:
     """bucket = number of edges <= value (searchsorted right); missing -> -1."""
-    e = edges.withColumnRenamed("edges", f"_edges_{bucket_col}")
-    j = with_globals(df, e)
-    x = dbl(col)
-    b = F.when(x.isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(F.col(f"_edges_{bucket_col}"), lambda v: v <= x)))
-    return j.select(*df.columns, b.cast("int").alias(bucket_col))
+    j = with_globals(df, edges)
+    new = []
+    for c, b, _ in specs:
+        x = dbl(c)
+        n = F.size(F.filter(F.col(f"_edges_{b}"), lambda v: v <= x))
+        new.append(F.when(x.isNull(), F.lit(-1)).otherwise(n).cast("int").alias(b))
+    return j.select(*df.columns, *new)
 
 
 def add_fit_buckets(fit: DataFrame, applies: list[DataFrame], specs=BUCKET_SOURCE_SPECS) -> list[DataFrame]:
-    out = list(applies)
-    for src, bcol, n in specs:
-        if src not in fit.columns:
-            continue
-        edges = bucket_edges(fit, src, n)
-        out = [apply_buckets(d, src, bcol, edges) if src in d.columns else d for d in out]
-    return out
+    """A2 fitted in one pass over ``fit``, applied in one to each frame."""
+    own = [s for s in specs if s[0] in fit.columns]
+    if not own:
+        return list(applies)
+    edges = bucket_edges(fit, own)
+    return [apply_buckets(d, [s for s in own if s[0] in d.columns], edges) for d in applies]
 
 
 # ---- A3 missing-value variants ------------------------------------------------

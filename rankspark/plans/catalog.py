@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import r6
 from ..operators.labels import add_relevance
 from ..sources.tables import search_log, test_frame, train_frame
-from .oracle import ndcg_ctes, with_base
+from .oracle import exact_rounding, ndcg_ctes, with_base
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +26,7 @@ def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = oracle
+            ORACLES[name] = exact_rounding(oracle)
         return fn
     return deco
 

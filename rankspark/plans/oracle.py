@@ -14,7 +14,7 @@ LABELS = ("CASE WHEN booking_bool = 1 THEN 5 WHEN click_bool = 1 THEN 1 ELSE 0 E
 GAINS = ("CASE WHEN booking_bool = 1 THEN 31 WHEN click_bool = 1 THEN 1 ELSE 0 END")
 
 BASE = (
-    "search_log AS (SELECT a.*, a.srch_id * 100 + a.position AS row_id FROM (\n" + _ADAPTER + "\n) a),\n"
+    "search_log AS (SELECT a.*, a.srch_id * 16777216 + a.position AS row_id FROM (\n" + _ADAPTER + "\n) a),\n"
     f"labeled AS (SELECT *, {LABELS} AS relevance, {GAINS} AS dcg_gain FROM search_log),\n"
     "train AS (SELECT * FROM labeled WHERE srch_id % 5 <> 0),\n"
     "test AS (SELECT * EXCLUDE (position, gross_bookings_usd, click_bool, booking_bool, relevance, dcg_gain)"
@@ -22,6 +22,23 @@ BASE = (
 )
 
 
+def exact_rounding(sql: str, digits: int = 6) -> str:
+    """``round(x, 6)`` by way of ten decimal digits, so that noise of a sum's order can't turn a tie."""
+    out, end = "", f", {digits})"
+    while (at := sql.find("round(")) >= 0:
+        depth, z = 1, at + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[z], 0)
+            z += 1
+        inner = sql[at + 6:z]
+        if inner.endswith(end):
+            inner = f"CAST(round(CAST({exact_rounding(inner[:-len(end)], digits)} AS DECIMAL(38,10)){end} AS DOUBLE)"
+        else:
+            inner = "round(" + exact_rounding(inner, digits)
+        out, sql = out + sql[:at] + inner, sql[z:]
+    return out + sql
+
+
 def with_base(*ctes: str, select: str) -> str:
     """``WITH <adapter>, <ctes...> <select>``."""
     parts = [BASE] + [c.strip().rstrip(",") for c in ctes if c.strip()]

@@ -9,7 +9,9 @@ from ..operators import encodings as enc
 from ..operators import fitted as ft
 from ..operators import folds as fo
 from ..operators import row_features as rf
-from ..specs import AFFINITY_KEY_SPECS, MISSING_VALUE_FEATURE_COLS, PROP_PROFILE_DELTA_COLS, PROP_PROFILE_SOURCE_COLS
+from ..session import materialize
+from ..specs import AFFINITY_KEY_SPECS, BUCKET_CROSS_KEY_SPECS, BUCKET_SOURCE_SPECS, CROSS_KEY_SPECS, FREQUENCY_KEY_SPECS, MISSING_VALUE_FEATURE_COLS, POSITION_AGG_KEY_SPECS, \
+    PROP_PROFILE_DELTA_COLS, PROP_PROFILE_SOURCE_COLS, TARGET_KEY_SPECS
 from .catalog import register, round_doubles, test, train
 from .oracle import with_base
 from .queries_rows import _F3_EXPRS
@@ -19,10 +21,30 @@ SEED = 2026
 _FOLD_CTE = ("fv AS (SELECT srch_id, CAST((row_number() OVER (ORDER BY md5(concat(CAST(srch_id AS VARCHAR), ':2026')), "
              "srch_id) - 1) % 5 AS INTEGER) AS fold FROM (SELECT DISTINCT srch_id FROM train))")
 
-# keys: name -> (spark key column, list of SQL columns)
-_PAIRS = {"_key_prop_dest": ("prop_id", "srch_destination_id"),
-          "_key_dest_site": ("srch_destination_id", "site_id"),
-          "_key_prop_country_visitor_country": ("prop_country_id", "visitor_location_country_id")}
+# composite keys: name -> parts
+_PAIRS = dict(CROSS_KEY_SPECS) | dict(BUCKET_CROSS_KEY_SPECS)
+_EXT = ", ".join(f"{_F3_EXPRS[c]} AS {c}" for c in ("price_per_night", "price_per_room_night"))
+
+
+def _edge_ctes():
+    """Frames ``trk`` and ``tek``: train and test with trip values and all fitted buckets."""
+    ctes = [f"trx AS (SELECT *, {_EXT} FROM train)", f"tex AS (SELECT *, {_EXT} FROM test)"]
+    sel = []
+    for i, (c, b, n) in enumerate(BUCKET_SOURCE_SPECS):
+        qs = ", ".join(str(j / n) for j in range(1, n))
+        ctes.append(f"e{i} AS (SELECT list_sort(list_distinct(quantile_cont(CAST({c} AS DOUBLE), [{qs}]))) AS edges FROM trx)")
+        sel.append(f"CAST(CASE WHEN t.{c} IS NULL THEN -1 ELSE len(list_filter(e{i}.edges, lambda e: e <= CAST(t.{c} AS DOUBLE))) END AS BIGINT) AS {b}")
+    joins = " ".join(f"CROSS JOIN e{i}" for i in range(len(BUCKET_SOURCE_SPECS)))
+    return ctes + [f"{k} AS MATERIALIZED (SELECT t.*, {', '.join(sel)} FROM {x} t {joins})" for k, x in (("trk", "trx"), ("tek", "tex"))]
+
+
+def _keyed(spark, sf):
+    """Train and test with trip values, all fitted buckets and all composite keys, each stored once."""
+    tr, te = rf.add_trip_and_value_features(train(spark, sf)), rf.add_trip_and_value_features(test(spark, sf))
+    need = {"row_id", "srch_id", "position", "random_bool", "date_time", *(t for t, _ in _TS),
+            *(c for c, _, _ in BUCKET_SOURCE_SPECS), *(p for parts in dict(CROSS_KEY_SPECS).values() for p in parts)}
+    tr, te = (materialize(d.select(*[c for c in d.columns if c in need]), name) for d, name in ((tr, "train"), (te, "test")))
+    return [materialize(rf.add_bucket_cross_keys(rf.add_cross_keys(d)), "keyed") for d in ft.add_fit_buckets(tr, [tr, te])]
 
 
 def _cols(key):
@@ -41,24 +63,22 @@ def _with_keys(df):
 
 
 # ---- A5 frequency ---------------------------------------------------------------
-_A5_KEYS = [("prop_id", "prop"), ("srch_destination_id", "dest"), ("site_id", "site"),
-            ("visitor_location_country_id", "visitor_country"), ("prop_country_id", "prop_country"),
-            ("_key_prop_dest", "prop_dest"), ("_key_dest_site", "dest_site")]
+_A5_KEYS = FREQUENCY_KEY_SPECS
 
 
 def _a5_sql():
-    ctes, sel, joins = [], [], []
+    ctes, sel, joins = _edge_ctes(), [], []
     for i, (k, a) in enumerate(_A5_KEYS):
         cs = ", ".join(_cols(k))
-        ctes.append(f"c{i} AS (SELECT {cs}, count(*) AS n FROM train GROUP BY {cs})")
+        ctes.append(f"c{i} AS (SELECT {cs}, count(*) AS n FROM trk GROUP BY {cs})")
         joins.append(f"LEFT JOIN c{i} ON {_on('t', f'c{i}', k)}")
         sel.append(f"round(ln(1 + coalesce(c{i}.n, 0)), 6) AS {a}_log_frequency")
-    return with_base(*ctes, select=f"SELECT t.row_id, {', '.join(sel)} FROM test t {' '.join(joins)}")
+    return with_base(*ctes, select=f"SELECT t.row_id, {', '.join(sel)} FROM tek t {' '.join(joins)}")
 
 
 @register("a5_frequency_encoding", _a5_sql())
 def a5_frequency_encoding(spark, sf):
-    tr, te = _with_keys(train(spark, sf)), _with_keys(test(spark, sf))
+    tr, te = _keyed(spark, sf)
     out = ft.add_frequency_features(tr, [te], _A5_KEYS)[0]
     return round_doubles(out.select("row_id", *[f"{a}_log_frequency" for _, a in _A5_KEYS]))
 
@@ -123,32 +143,32 @@ def a7_target_encoding_table(spark, sf):
     return round_doubles(table)
 
 
-_A8_KEYS = [("prop_id", "prop"), ("srch_destination_id", "dest"), ("_key_prop_dest", "prop_dest")]
+_A8_KEYS = TARGET_KEY_SPECS
 
 
 def _a8_sql():
-    ctes, sel, joins = [_te_prior_cte()], [], []
+    ctes, sel, joins = [*_edge_ctes(), _te_prior_cte()], [], []
     for i, (k, a) in enumerate(_A8_KEYS):
-        ctes.append(_sums_cte(f"s{i}", k))
+        ctes.append(_sums_cte(f"s{i}", k, "trk"))
         joins.append(f"LEFT JOIN s{i} ON {_on('t', f's{i}', k)}")
         sel += _te_exprs(lambda s, i=i: f"s{i}.s_{s}", f"s{i}.n", "pr", a, f"s{i}.n IS NOT NULL")
         sel.append(f"round(ln(1 + coalesce(s{i}.n, 0)), 6) AS {a}_te_log_count")
-    return with_base(*ctes, select=f"SELECT t.row_id, {', '.join(sel)} FROM test t CROSS JOIN pr {' '.join(joins)}")
+    return with_base(*ctes, select=f"SELECT t.row_id, {', '.join(sel)} FROM tek t CROSS JOIN pr {' '.join(joins)}")
 
 
 @register("a8_apply_target_encoding", _a8_sql())
 def a8_apply_target_encoding(spark, sf):
-    tr, te = _with_keys(train(spark, sf)), _with_keys(test(spark, sf))
+    tr, te = _keyed(spark, sf)
     out = enc.add_fit_target_encodings(tr, [te], ALPHA, _A8_KEYS)[0]
     return round_doubles(out.select("row_id", *[n for _, a in _A8_KEYS for n in enc.te_feature_names(a)]))
 
 
 # ---- A9 out-of-fold target encoding --------------------------------------------
-_A9_KEYS = [("prop_id", "prop"), ("srch_destination_id", "dest"), ("site_id", "site"), ("_key_prop_dest", "prop_dest")]
+_A9_KEYS = TARGET_KEY_SPECS
 
 
 def _a9_sql():
-    ctes = [_FOLD_CTE, "tf AS (SELECT train.*, fv.fold FROM train JOIN fv USING (srch_id))",
+    ctes = [*_edge_ctes(), _FOLD_CTE, "tf AS (SELECT trk.*, fv.fold FROM trk JOIN fv USING (srch_id))",
             "tot AS (SELECT " + ", ".join(f"sum(CAST({t} AS DOUBLE)) AS T_{s}" for t, s in _TS) + ", count(*) AS N FROM tf)",
             "pf AS (SELECT fold, " + ", ".join(f"sum(CAST({t} AS DOUBLE)) AS F_{s}" for t, s in _TS) + ", count(*) AS NF FROM tf GROUP BY fold)",
             "fp AS (SELECT pf.fold, " + ", ".join(f"(tot.T_{s} - pf.F_{s}) / (tot.N - pf.NF) AS p_{s}" for _, s in _TS)
@@ -167,7 +187,7 @@ def _a9_sql():
 
 @register("a9_oof_target_encoding", _a9_sql())
 def a9_oof_target_encoding(spark, sf):
-    tr = _with_keys(train(spark, sf))
+    tr = _keyed(spark, sf)[0]
     folds = fo.group_folds(tr, 5, SEED)
     out = enc.add_oof_target_encodings(tr, folds, ALPHA, _A9_KEYS)
     return round_doubles(out.select("row_id", *[n for _, a in _A9_KEYS for n in enc.te_feature_names(a)]))
@@ -197,11 +217,11 @@ def a10_position_table(spark, sf):
     return round_doubles(table)
 
 
-_A11_KEYS = [("prop_id", "prop"), ("_key_dest_site", "dest_site"), ("random_bool", "random")]
+_A11_KEYS = POSITION_AGG_KEY_SPECS
 
 
 def _a11_sql():
-    ctes = [_SRC, f"pp AS (SELECT {_pos_aggs('g')} FROM src)"]
+    ctes = [*_edge_ctes(), _SRC.replace("FROM train", "FROM trk"), f"pp AS (SELECT {_pos_aggs('g')} FROM src)"]
     sel, joins = [], []
     for i, (k, a) in enumerate(_A11_KEYS):
         cs = ", ".join(_cols(k))
@@ -210,18 +230,18 @@ def _a11_sql():
         for f in _POS_FEATS[:-1]:
             sel.append(f"round(coalesce(p{i}.x_{f}, pp.g_{f}, 0), 6) AS {a}_{f}")
         sel.append(f"round(coalesce(p{i}.x_position_count_log, 0), 6) AS {a}_position_count_log")
-    return with_base(*ctes, select=f"SELECT t.row_id, {', '.join(sel)} FROM test t CROSS JOIN pp {' '.join(joins)}")
+    return with_base(*ctes, select=f"SELECT t.row_id, {', '.join(sel)} FROM tek t CROSS JOIN pp {' '.join(joins)}")
 
 
 @register("a11_apply_position_aggregates", _a11_sql())
 def a11_apply_position_aggregates(spark, sf):
-    tr, te = _with_keys(train(spark, sf)), _with_keys(test(spark, sf))
+    tr, te = _keyed(spark, sf)
     out = enc.add_fit_position_aggregates(tr, [te], _A11_KEYS)[0]
     return round_doubles(out.select("row_id", *[f"{a}_{f}" for _, a in _A11_KEYS for f in _POS_FEATS]))
 
 
 def _a12_sql():
-    ctes = [_FOLD_CTE, "tf AS (SELECT train.*, fv.fold FROM train JOIN fv USING (srch_id))",
+    ctes = [*_edge_ctes(), _FOLD_CTE, "tf AS (SELECT trk.*, fv.fold FROM trk JOIN fv USING (srch_id))",
             "rep AS (SELECT tf.*, t.tf FROM tf JOIN (SELECT DISTINCT fold AS tf FROM fv) t ON t.tf <> tf.fold "
             "WHERE tf.position IS NOT NULL)",
             "anr AS (SELECT tf, max(CASE WHEN random_bool = 0 THEN 1 ELSE 0 END) AS a FROM rep GROUP BY tf)",
@@ -240,7 +260,7 @@ def _a12_sql():
 
 @register("a12_oof_position_aggregates", _a12_sql())
 def a12_oof_position_aggregates(spark, sf):
-    tr = _with_keys(train(spark, sf))
+    tr = _keyed(spark, sf)[0]
     folds = fo.group_folds(tr, 5, SEED)
     out = enc.add_oof_position_aggregates(tr, folds, _A11_KEYS)
     return round_doubles(out.select("row_id", *[f"{a}_{f}" for _, a in _A11_KEYS for f in _POS_FEATS]))
@@ -277,30 +297,16 @@ def a1_item_profiles(spark, sf):
 
 
 # ---- A2 / J7 buckets -----------------------------------------------------------------
-_A2_SPECS = [("price_usd", "price_usd_bucket", 20), ("price_per_night", "price_per_night_bucket", 20),
-             ("srch_booking_window", "srch_booking_window_bucket", 16),
-             ("srch_length_of_stay", "srch_length_of_stay_bucket", 12)]
-
-
-def _a2_sql():
-    ppn = _F3_EXPRS["price_per_night"]
-    ctes = [f"trx AS (SELECT *, {ppn} AS price_per_night FROM train)",
-            f"tex AS (SELECT *, {ppn} AS price_per_night FROM test)"]
-    sel, joins = [], []
-    for i, (c, b, n) in enumerate(_A2_SPECS):
-        qs = ", ".join(str(j / n) for j in range(1, n))
-        ctes.append(f"e{i} AS (SELECT list_sort(list_distinct(quantile_cont(CAST({c} AS DOUBLE), [{qs}]))) AS edges FROM trx)")
-        joins.append(f"CROSS JOIN e{i}")
-        sel.append(f"CAST(CASE WHEN t.{c} IS NULL THEN -1 ELSE len(list_filter(e{i}.edges, lambda e: e <= CAST(t.{c} AS DOUBLE))) END AS BIGINT) AS {b}")
-    return with_base(*ctes, select=f"SELECT t.row_id, {', '.join(sel)} FROM tex t {' '.join(joins)}")
-
 
-@register("a2_j7_quantile_buckets", _a2_sql())
+@register("a2_j7_quantile_buckets", with_base(*_edge_ctes(), select=" UNION ALL ".join(
+    f"SELECT row_id, '{split}' AS split, " + ", ".join(b for _, b, _ in BUCKET_SOURCE_SPECS) + f" FROM {k}"
+    for split, k in (("train", "trk"), ("test", "tek")))))
 def a2_j7_quantile_buckets(spark, sf):
-    tr = rf.add_trip_and_value_features(train(spark, sf))
-    te = rf.add_trip_and_value_features(test(spark, sf))
-    out = ft.add_fit_buckets(tr, [te], _A2_SPECS)[0]
-    return round_doubles(out.select("row_id", *[b for _, b, _ in _A2_SPECS]))
+    tr, te = rf.add_trip_and_value_features(train(spark, sf)), rf.add_trip_and_value_features(test(spark, sf))
+    both = ft.add_fit_buckets(tr, [tr, te])
+    tr, te = (round_doubles(d.select("row_id", F.lit(s).alias("split"), *[b for _, b, _ in BUCKET_SOURCE_SPECS]))
+              for d, s in zip(both, ("train", "test")))
+    return tr.unionByName(te)
 
 
 # ---- A3 missing-value variants ------------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Columnar table in the shared checkpoint folder, read back: later stages prune its columns."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 

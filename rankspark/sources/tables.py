@@ -6,19 +6,19 @@ tables: one order = one search, one line item = one candidate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import md5_key
-from ..specs import GROUP_COL, ROW_ID
+from ..functions.expr import md5_key, nan_to_null
+from ..specs import GROUP_COL, ITEM_COL, ROW_ID
 
 TRAIN_ONLY_RAW = ("position", "gross_bookings_usd", "click_bool", "booking_bool")
 
 # Typed ingest schema of the raw search log (CSV and Parquet).
 _BYTE, _SHORT, _INT, _FLOAT = T.ByteType(), T.ShortType(), T.IntegerType(), T.FloatType()
 SEARCH_LOG_SCHEMA = T.StructType(
-    [T.StructField("srch_id", _INT), T.StructField("date_time", T.TimestampNTZType()),
+    [T.StructField("srch_id", T.LongType()), T.StructField("date_time", T.TimestampNTZType()),
      T.StructField("site_id", _SHORT), T.StructField("visitor_location_country_id", _SHORT),
      T.StructField("visitor_hist_starrating", _FLOAT), T.StructField("visitor_hist_adr_usd", _FLOAT),
      T.StructField("prop_country_id", _SHORT), T.StructField("prop_id", _INT),
@@ -41,6 +41,38 @@ SEARCH_LOG_SCHEMA = T.StructType(
 )
 
 
+#: Bits of a row's number within its search; the search id takes the others.
+ROW_BITS = 24
+
+
+def row_identity(group: Column | str, number: Column | str) -> Column:
+    """The pair (search id, row number within the search) as one long, which joins and ties go by.
+
+    Distinct for every pair of a search id below 2**38 in size and a number below 2**24; a pair beyond
+    that fails the query and never meets another's key.
+    """
+    g, n = (F.col(c) if isinstance(c, str) else c for c in (group, number))
+    fits = n.between(0, (1 << ROW_BITS) - 1) & (F.abs(g) < F.lit(1 << 38))
+    key = g.cast("long") * F.lit(1 << ROW_BITS) + n.cast("long")
+    return F.when(fits, key).otherwise(F.raise_error(F.lit("row identity: search id or row number out of range")).cast("long"))
+
+
+def with_row_identity(df: DataFrame, group: str = GROUP_COL) -> DataFrame:
+    """Number the rows of each search by their content and add the identity; rows that are equal in all columns are interchangeable."""
+    if ROW_ID in df.columns:
+        return df
+    first = [c for c in ("position", ITEM_COL) if c in df.columns]
+    order = first + [c for c in df.columns if c not in first and c != group]
+    n = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return df.withColumn("_n", n).withColumn(ROW_ID, row_identity(group, "_n")).drop("_n")
+
+
+def _clean(df: DataFrame) -> DataFrame:
+    """NaN marks a missing value as null does."""
+    return df.select(*[nan_to_null(F.col(f.name)).cast(f.dataType).alias(f.name) if isinstance(f.dataType, (T.FloatType, T.DoubleType))
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -48,7 +80,7 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search log view over lineitem/orders/customer/part/supplier/nation.
 
-    ``row_id`` = srch_id * 100 + position is the explicit row identity.
+    ``row_id`` is the identity of (srch_id, position), see :func:`row_identity`.
     Joins are left to the optimizer (AQE picks broadcast vs. shuffle by the
     measured size); only ``nation`` (25 rows, fixed) is hinted.
     """
@@ -119,7 +151,7 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(booked, F.col("l_extendedprice")).alias("gross_bookings_usd"),
     ]
     out = j.select(*cols)
-    return out.withColumn(ROW_ID, F.col("srch_id") * 100 + F.col("position"))
+    return out.withColumn(ROW_ID, row_identity("srch_id", "position"))
 
 
 def train_frame(log: DataFrame) -> DataFrame:
@@ -150,20 +182,23 @@ def sample_by_groups(df: DataFrame, n_groups: int, seed: int, group: str = GROUP
 
 def load_dataset(spark: SparkSession, path: str, sample_groups: int = 0,
                  seed: int = 2026) -> DataFrame:
-    """Parquet scan with optional group sampling (pushdown/pruning by Catalyst)."""
-    df = spark.read.parquet(path)
+    """Parquet scan with NaN as null, row identity and optional group sampling."""
+    df = with_row_identity(_clean(spark.read.parquet(path)))
     return sample_by_groups(df, sample_groups, seed) if sample_groups > 0 else df
 
 
 def read_search_csv(spark: SparkSession, path: str, header_cols: list[str] | None = None) -> DataFrame:
-    """CSV scan with the explicit typed schema restricted to present columns."""
+    """CSV scan with the explicit typed schema restricted to present columns.
+
+    ``NULL`` and the empty field are null; a value that doesn't fit its type fails the query.
+    """
     schema = SEARCH_LOG_SCHEMA
     if header_cols is None:
         header_cols = spark.read.option("header", True).csv(path).columns
     by_name = {f.name: f for f in schema.fields}
     fields = [by_name.get(c, T.StructField(c, T.StringType())) for c in header_cols]  # header order
     return (spark.read.schema(T.StructType(fields)).option("header", True)
-            .option("enforceSchema", False)
+            .option("enforceSchema", False).option("mode", "FAILFAST").option("nullValue", "NULL").option("emptyValue", "")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
