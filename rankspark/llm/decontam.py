@@ -88,9 +88,16 @@ class Index:
         self.row_max = np.array([r[2] for r in rows], float)
         count = np.bincount([r[0] for r in rows], minlength=len(self.terms)) if rows else np.zeros(len(self.terms), int)
         self.row_start = np.concatenate(([0], np.cumsum(count)))
+        # essential postings item by item, and each item's non-essential sum
+        posts = [(t, i, w) for t in sorted(by_term) if self.essential[t] for i, w in by_term[t]]
+        self.post_item = np.array([r[1] for r in posts], np.int64)
+        self.post_impact = np.array([r[2] for r in posts], float)
+        count = np.bincount([r[0] for r in posts], minlength=len(self.terms)) if posts else np.zeros(len(self.terms), int)
+        self.post_start = np.concatenate(([0], np.cumsum(count)))
+        self.item_light = light
 
     def candidates(self, ids: np.ndarray, passage_of: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Pairs (passage, block) that can reach the threshold.
+        """Pairs (passage, item) that can reach the threshold.
 
         ``ids``: term of each word (-1: none); ``passage_of``: the later passage of a word, which the one before shares
         unless ``last`` says that it is its text's first.
@@ -101,11 +108,20 @@ class Index:
         two = hit[~last[hit]]
         pair = np.unique(np.concatenate((passage_of[hit], passage_of[two] - 1)) * len(self.terms) + np.concatenate((ids[hit], ids[two])))
         passage, term = np.divmod(pair, len(self.terms))
-        count = self.row_start[term + 1] - self.row_start[term]
-        at = np.repeat(self.row_start[term] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-        key, inverse = np.unique(np.repeat(passage, count) * len(self.light) + self.row_block[at], return_inverse=True)
-        bound = np.bincount(inverse, self.row_max[at], len(key)) + self.light[key % len(self.light)]
-        return np.column_stack(np.divmod(key[bound >= self.threshold - 1e-9], len(self.light)))
+        # blocks by the sums of their terms' maxima
+        row, at = _spread(self.row_start, term)
+        key, bound = _summed(passage[row] * len(self.light) + self.row_block[at], self.row_max[at])
+        key = key[bound + self.light[key % len(self.light)] >= self.threshold - 1e-9]
+        if not len(key):
+            return np.zeros((0, 2), np.int64)
+        # items of those blocks by their own essential impacts
+        some = np.isin(passage, key // len(self.light))
+        passage, term = passage[some], term[some]
+        row, at = _spread(self.post_start, term)
+        item = self.post_item[at]
+        inside = np.isin(passage[row] * len(self.light) + item // self.block, key)
+        key, bound = _summed(passage[row[inside]] * len(self.items) + item[inside], self.post_impact[at[inside]])
+        return np.column_stack(np.divmod(key[bound + self.item_light[key % len(self.items)] >= self.threshold - 1e-9], len(self.items)))
 
     def leaks(self, texts: list[str | None]) -> list[list[tuple]]:
         """Verified items of each text: id, best score, overlaps."""
@@ -123,16 +139,15 @@ class Index:
         found: dict[tuple[int, int], float] = {}
         spots: dict[tuple[int, int], list[int]] = defaultdict(list)
         seen: tuple[int, set[int]] = (-1, set())
-        for p, b in self.candidates(ids, passage, inside < self.stride):
+        for p, i in self.candidates(ids, passage, inside < self.stride).tolist():
             text = int(np.searchsorted(first, p, side="right") - 1)
-            at = int(p - first[text]) * self.stride
+            at = (p - int(first[text])) * self.stride
             if seen[0] != p:
                 seen = (p, set(ids[start[text] + at:start[text] + min(at + 2 * self.stride, int(sizes[text]))].tolist()))
-            for i in range(b * self.block, min((b + 1) * self.block, len(self.items))):
-                score = sum(w for t, w in self.impacts[i].items() if t in seen[1])
-                if score >= self.threshold - 1e-9:
-                    found[text, i] = max(found.get((text, i), 0.0), score)
-                    spots[text, i].append(at)
+            score = sum(w for t, w in self.impacts[i].items() if t in seen[1])
+            if score >= self.threshold - 1e-9:
+                found[text, i] = max(found.get((text, i), 0.0), score)
+                spots[text, i].append(at)
         for (text, i), score in sorted(found.items()):
             best = (0.0, 0.0)
             for at in spots[text, i]:
@@ -144,6 +159,18 @@ class Index:
         return out
 
 
+def _spread(start: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The postings of each term: which term's they are, and where."""
+    count = start[term + 1] - start[term]
+    row = np.repeat(np.arange(len(term)), count)
+    return row, start[term][row] + np.arange(len(row)) - (np.cumsum(count) - count)[row]
+
+
+def _summed(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    unique, inverse = np.unique(key, return_inverse=True)
+    return unique, np.bincount(inverse, value, len(unique))
+
+
 def shingles_of(ws: list[bytes], parts: tuple[set[bytes], ...]) -> list[set[bytes]]:
     """For each part the shingles of its own length (a short part is one shingle)."""
     sizes = [next(iter(p)).count(b" ") + 1 if p else 1 for p in parts]
