@@ -90,7 +90,7 @@ def numeric_drift_report(train: DataFrame, test: DataFrame, columns: list[str])
         ((F.col("te_null") - F.col("tr_null")) * 100).alias("missing_diff_pct"))
 
 
-def target_by_quantile(df: DataFrame, feature: str, q: int = 10) -> DataFrame:
+def target_by_quantile(df: DataFrame, feature: str, q: int = 10, extra=()) -> DataFrame:
     """Label rates per quantile bucket (duplicate edges dropped, intervals
     (lo, hi], lowest included); rows with a missing feature are left out."""
     x = dbl(feature)
@@ -101,10 +101,11 @@ def target_by_quantile(df: DataFrame, feature: str, q: int = 10) -> DataFrame:
     b = F.greatest(F.lit(1), F.size(F.filter(F.col("_e"), lambda e: e < x)))
     j = j.withColumn("_b", b).filter(F.size("_e") >= 2)
     out = j.groupBy("_b").agg(F.first(F.col("_e")[F.col("_b") - 1]).alias("bucket_lo"),
-                              F.first(F.col("_e")[F.col("_b")]).alias("bucket_hi"), *rates())
+                              F.first(F.col("_e")[F.col("_b")]).alias("bucket_hi"), *rates(), *extra)
     return out.transform(lambda _d: with_globals(_d, total)).select(
         F.lit(feature).alias("feature"), F.col("_b").alias("bucket"), "bucket_lo", "bucket_hi", "rows",
-        "click_rate", "booking_rate", "relevance_mean", (F.col("rows") / F.col("_total")).alias("row_pct"))
+        "click_rate", "booking_rate", "relevance_mean", (F.col("rows") / F.col("_total")).alias("row_pct"),
+        *[c for c in out.columns if c not in ("_b", "bucket_lo", "bucket_hi", "rows", "click_rate", "booking_rate", "relevance_mean")])
 
 
 def label_aggregate(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:

@@ -1,9 +1,9 @@
 """Within-search (query-group) features W1-W9.
 
-Group statistics (mean, median, min, max, sample std, non-null count) are a
-hash aggregate on ``srch_id`` with map-side partial aggregation, joined back;
-the join leaves the rows hash-partitioned by ``srch_id`` so every rank window
-afterwards runs without another exchange (one sort per ranked column).
+W1-W5 unpivot the base columns: one window partition and sort per (search,
+base) gives every statistic and rank, and one pivot brings them back to the
+rows.  W6 and W9 rank in windows by search; W9's means and medians are a hash
+aggregate by search, joined back.
 Ranks: min rank = ``rank()``; ties = ``count(*)`` over a RANGE frame of
 peers; average pct rank = (min rank + (ties - 1)/2) / non-null count; the
 descending min rank is derived from the same sort.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import dbl, flag, safe_divide
+from ..functions.expr import clip_lower, dbl, flag, safe_divide
 from ..specs import GROUP_COL, RELATIVE_FEATURE_BASES, ROW_ID
 
 
@@ -43,17 +43,6 @@ def pct_rank_average(col: str, group=GROUP_COL, ascending: bool = True) -> Colum
     return F.when(F.col(col).isNotNull(), (r + (ties - 1) / 2.0) / n)
 
 
-def group_stats(df: DataFrame, cols: list[str], group: str = GROUP_COL) -> DataFrame:
-    """W1 table: one row per group with mean/median/min/max/std/count per column."""
-    aggs = []
-    for c in cols:
-        x = dbl(c)
-        aggs += [F.avg(x).alias(f"_{c}__mean"), F.median(x).alias(f"_{c}__median"),
-                 F.min(x).alias(f"_{c}__min"), F.max(x).alias(f"_{c}__max"),
-                 F.stddev_samp(x).alias(f"_{c}__std"), F.count(x).alias(f"_{c}__n")]
-    return df.groupBy(group).agg(*aggs)
-
-
 def add_within_search_features(df: DataFrame, cols: list[str] | None = None,
                                group: str = GROUP_COL) -> DataFrame:
     """W1-W5 on every present base column (``RELATIVE_FEATURE_BASES``).
@@ -65,7 +54,7 @@ def add_within_search_features(df: DataFrame, cols: list[str] | None = None,
     frame is shuffled once instead of sorted 30 times.
     """
     if group not in df.columns:
-        raise ValueError(f"{group} column is required.")
+        raise ValueError(f"within-search features need the column {group}")
     src = [c for c in (cols or RELATIVE_FEATURE_BASES) if c in df.columns]
     if not src:
         return df
@@ -137,4 +126,9 @@ def relative_diagnostics(df: DataFrame, cols: list[str], group: str = GROUP_COL)
                 pct_rank_average(c, group, False).alias(f"{c}_rank_pct_desc"),
                 (dbl(c) - F.col(f"{c}_search_mean")).alias(f"{c}_diff_mean"),
                 (dbl(c) - F.col(f"{c}_search_median")).alias(f"{c}_diff_median")]
+    if "price_usd" in df.columns:
+        log_price = F.log1p(clip_lower(dbl("price_usd"), 0.0))
+        new.append(log_price.alias("log_price_usd"))
+        new += [safe_divide(F.col(c), F.when(log_price != 0, log_price), None).alias(name) for c, name in (
+            ("prop_starrating", "value_star_per_log_price"), ("prop_review_score", "value_review_per_log_price")) if c in df.columns]
     return j.select("*", *new)

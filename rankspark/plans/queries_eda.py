@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from ..functions.expr import dbl
 from ..operators import eda
 from ..operators import within_search as ws
+from ..session import materialize
 from ..sources.tables import TRAIN_ONLY_RAW
 from .catalog import register, round_doubles, test, train
 from .oracle import with_base
 from .queries_rows import RAW_COLS
+from .queries_within import RELATIVE_COLS, relative_sql
 from ..operators.fitted import with_globals
 
 COMMON = [c for c in RAW_COLS if c not in TRAIN_ONLY_RAW]
@@ -371,16 +373,18 @@ def d22_o3_top_prices(spark, sf):
     return round_doubles(out.select("row_id", *_D22_COLS))
 
 
-@register("d23_intent_columns", with_base(select=(
-    "SELECT row_id, CAST(month(date_time) AS BIGINT) AS search_month, CAST(isodow(date_time) - 1 AS BIGINT) AS search_dow, "
+@register("d23_intent_columns", with_base(select=" UNION ALL ".join(
+    f"SELECT '{split}' AS split, row_id, CAST(month(date_time) AS BIGINT) AS search_month, CAST(isodow(date_time) - 1 AS BIGINT) AS search_dow, "
     "CAST(hour(date_time) AS BIGINT) AS search_hour, CAST(srch_adults_count + srch_children_count AS BIGINT) AS party_size, "
-    "round(srch_room_count / NULLIF(CAST(srch_adults_count + srch_children_count AS DOUBLE), 0), 6) AS rooms_per_person FROM test")))
+    f"round(srch_room_count / NULLIF(CAST(srch_adults_count + srch_children_count AS DOUBLE), 0), 6) AS rooms_per_person FROM {split}"
+    for split in ("train", "test"))))
 def d23_intent_columns(spark, sf):
-    t = test(spark, sf)
     party = F.col("srch_adults_count") + F.col("srch_children_count")
-    return round_doubles(t.select("row_id", F.month("date_time").alias("search_month"), F.weekday("date_time").alias("search_dow"),
-                                  F.hour("date_time").alias("search_hour"), party.alias("party_size"),
-                                  F.try_divide(dbl("srch_room_count"), F.when(party != 0, party).cast("double")).alias("rooms_per_person")))
+    out = [d.select(F.lit(split).alias("split"), "row_id", F.month("date_time").alias("search_month"), F.weekday("date_time").alias("search_dow"),
+                    F.hour("date_time").alias("search_hour"), party.alias("party_size"),
+                    F.try_divide(dbl("srch_room_count"), F.when(party != 0, party).cast("double")).alias("rooms_per_person"))
+           for split, d in (("train", train(spark, sf)), ("test", test(spark, sf)))]
+    return round_doubles(out[0].unionByName(out[1]))
 
 
 _SEG = {"search_month": "month(date_time)", "search_dow": "isodow(date_time) - 1", "search_hour": "hour(date_time)",
@@ -410,31 +414,70 @@ def d24_target_by_segment(spark, sf):
     return round_doubles(out.withColumn("row_pct", F.col("rows") / F.col("_n")).drop("_n"))
 
 
-_D26_FEATS = ["price_usd", "prop_location_score1"]
+_D26_FEATS = ["price_usd_rank_pct_asc", "price_usd_diff_median", "prop_starrating_rank_pct_desc", "prop_review_score_rank_pct_desc",
+              "prop_location_score1_rank_pct_desc", "value_star_per_log_price", "value_review_per_log_price"]
+
+
+def _bucket_ctes(i, source, feature):
+    """Decile buckets (lo, hi], duplicate edges dropped, as ``b{i}``; values by way of 9 digits, so that summation noise moves no row."""
+    x = f"round(CAST({feature} AS DECIMAL(38,12)), 9)"
+    qs = ", ".join(str(j / 10) for j in range(11))
+    return [f"v{i} AS (SELECT *, CAST({x} AS DOUBLE) AS bx FROM {source})",
+            f"e{i} AS (SELECT list_sort(list_distinct(quantile_cont(bx, [{qs}]))) AS e FROM v{i})",
+            f"b{i} AS (SELECT t.*, greatest(1, len(list_filter(e{i}.e, lambda v: v < bx))) AS b, e{i}.e AS edges "
+            f"FROM v{i} t CROSS JOIN e{i} WHERE bx IS NOT NULL AND len(e{i}.e) >= 2)"]
+
+
+_LABEL_AVGS = ("count(*) AS rows, round(avg(CAST(click_bool AS DOUBLE)), 6) AS click_rate, "
+               "round(avg(CAST(booking_bool AS DOUBLE)), 6) AS booking_rate, round(avg(CAST(relevance AS DOUBLE)), 6) AS relevance_mean")
 
 
 def _d26_sql():
-    parts, ctes = [], []
+    exprs = relative_sql()
+    ctes = ["rel AS (SELECT *, " + ", ".join(f"{exprs[f]} AS {f}" for f in _D26_FEATS) + " FROM train)"]
+    parts = []
     for i, f in enumerate(_D26_FEATS):
-        qs = ", ".join(str(j / 10) for j in range(11))
-        ctes.append(f"e{i} AS (SELECT list_sort(list_distinct(quantile_cont(CAST({f} AS DOUBLE), [{qs}]))) AS e FROM train)")
-        ctes.append(f"b{i} AS (SELECT t.*, greatest(1, len(list_filter(e{i}.e, lambda v: v < CAST(t.{f} AS DOUBLE)))) AS b, e{i}.e AS edges "
-                    f"FROM train t CROSS JOIN e{i} WHERE t.{f} IS NOT NULL AND len(e{i}.e) >= 2)")
-        parts.append(f"SELECT '{f}' AS feature, CAST(b AS BIGINT) AS bucket, round(any_value(list_extract(edges, b)), 6) AS bucket_lo, round(any_value(list_extract(edges, b + 1)), 6) AS bucket_hi, "
-                     f"{RATES_SQL.replace('AS click_rate', 'AS cr').replace('AS booking_rate', 'AS br').replace('AS relevance_mean', 'AS rm')}, "
-                     f"count(*) / (SELECT count(*) FROM train) AS row_pct FROM b{i} GROUP BY b")
-    return with_base(*ctes, select=(
-        "SELECT feature, bucket, bucket_lo, bucket_hi, rows, round(cr, 6) AS click_rate, round(br, 6) AS booking_rate, "
-        "round(rm, 6) AS relevance_mean, round(row_pct, 6) AS row_pct FROM (" + " UNION ALL ".join(parts) + ")"))
+        ctes += _bucket_ctes(i, "rel", f)
+        parts.append(f"SELECT '{f}' AS feature, CAST(b AS BIGINT) AS bucket, round(any_value(list_extract(edges, b)), 6) AS bucket_lo, "
+                     f"round(any_value(list_extract(edges, b + 1)), 6) AS bucket_hi, {_LABEL_AVGS}, "
+                     f"round(count(*) / (SELECT count(*) FROM train), 6) AS row_pct FROM b{i} GROUP BY b")
+    return with_base(*ctes, select=" UNION ALL ".join(parts))
 
 
 @register("d26_target_by_quantile", _d26_sql())
 def d26_target_by_quantile(spark, sf):
-    t = train(spark, sf)
-    out = eda.target_by_quantile(t, _D26_FEATS[0]).unionByName(eda.target_by_quantile(t, _D26_FEATS[1]))
+    t = ws.relative_diagnostics(train(spark, sf), RELATIVE_COLS)
+    t = materialize(t.select("click_bool", "booking_bool", "relevance",
+                             *[F.round(F.col(f).try_cast("decimal(38,12)"), 9).cast("double").alias(f) for f in _D26_FEATS]), "relative")
+    out = None
+    for f in _D26_FEATS:
+        part = eda.target_by_quantile(t, f)
+        out = part if out is None else out.unionByName(part)
     return round_doubles(out)
 
 
+# ---- D30 smoothed popularity of an item against its labels --------------------------
+_D30_MIN, _D30_PRIOR = 20, 100
+
+
+@register("d30_popularity_deciles", with_base(
+    f"pp AS (SELECT prop_id, count(*) AS n, avg(CAST(relevance AS DOUBLE)) AS m FROM train GROUP BY prop_id HAVING count(*) >= {_D30_MIN})",
+    f"dg AS (SELECT t.relevance, t.click_bool, t.booking_bool, pp.n, (pp.m * pp.n + (SELECT avg(CAST(relevance AS DOUBLE)) FROM train) * {_D30_PRIOR}) "
+    f"/ (pp.n + {_D30_PRIOR}) AS smoothed FROM train t LEFT JOIN pp USING (prop_id))",
+    *_bucket_ctes(0, "dg", "smoothed"),
+    select=f"SELECT CAST(b AS BIGINT) AS bucket, {_LABEL_AVGS}, round(CAST(median(n) AS DOUBLE), 6) AS median_prop_rows FROM b0 GROUP BY b"))
+def d30_popularity_deciles(spark, sf):
+    """Items with few rows have no score and so no bucket, as in a left join followed by quantile cuts."""
+    t = train(spark, sf)
+    table = t.groupBy("prop_id").agg(F.count(F.lit(1)).alias("_n"), F.avg(dbl("relevance")).alias("_m")).filter(F.col("_n") >= _D30_MIN)
+    scored = with_globals(t.join(table, "prop_id", "left"), t.agg(F.avg(dbl("relevance")).alias("_g")))
+    smoothed = (F.col("_m") * F.col("_n") + F.col("_g") * _D30_PRIOR) / (F.col("_n") + _D30_PRIOR)
+    d = materialize(scored.select("click_bool", "booking_bool", "relevance", F.col("_n").alias("n"),
+                                  F.round(smoothed.try_cast("decimal(38,12)"), 9).cast("double").alias("smoothed")), "popularity")
+    return round_doubles(eda.target_by_quantile(d, "smoothed", extra=[F.median("n").alias("median_prop_rows")])
+                         .select("bucket", "rows", "click_rate", "booking_rate", "relevance_mean", "median_prop_rows"))
+
+
 @register("d27_target_by_promotion", with_base(select=(
     "SELECT CAST(promotion_flag AS BIGINT) AS promotion_flag, count(*) AS rows, round(avg(CAST(click_bool AS DOUBLE)), 6) AS click_rate, "
     "round(avg(CAST(booking_bool AS DOUBLE)), 6) AS booking_rate, round(avg(CAST(relevance AS DOUBLE)), 6) AS relevance_mean "

@@ -90,30 +90,34 @@ def w8_query_has_booking(spark, sf):
     return round_doubles(out.select("row_id", "query_has_booking"))
 
 
-_D25_COLS = ["price_usd", "prop_starrating", "prop_review_score", "prop_location_score1",
+RELATIVE_COLS = ["price_usd", "prop_starrating", "prop_review_score", "prop_location_score1",
              "prop_location_score2", "prop_log_historical_price"]
 
 
-def _d25_sql():
+def relative_sql():
     e = {}
     p = "PARTITION BY srch_id"
-    for c in _D25_COLS:
+    for c in RELATIVE_COLS:
         x = f"CAST({c} AS DOUBLE)"
         for d, nl in (("asc", "ASC"), ("desc", "DESC")):
             e[f"{c}_rank_pct_{d}"] = (f"CASE WHEN {c} IS NOT NULL THEN (rank() OVER ({p} ORDER BY {c} {nl} NULLS LAST) + "
                                       f"(count(*) OVER ({p}, {c}) - 1) / 2.0) / count({c}) OVER ({p}) END")
         e[f"{c}_diff_mean"] = f"{x} - avg({x}) OVER ({p})"
         e[f"{c}_diff_median"] = f"{x} - median({x}) OVER ({p})"
+    lp = "ln(1 + greatest(CAST(price_usd AS DOUBLE), 0))"
+    e["log_price_usd"] = lp
+    e["value_star_per_log_price"] = f"CAST(prop_starrating AS DOUBLE) / NULLIF({lp}, 0)"
+    e["value_review_per_log_price"] = f"CAST(prop_review_score AS DOUBLE) / NULLIF({lp}, 0)"
     return e
 
 
-_D25 = _d25_sql()
+_D25 = relative_sql()
 
 
 @register("w9_d25_relative_diagnostics", with_base(select=(
     "SELECT row_id, " + ", ".join(f"round({e}, 6) AS {n}" for n, e in _D25.items()) + " FROM labeled")))
 def w9_d25_relative_diagnostics(spark, sf):
-    out = ws.relative_diagnostics(labeled(spark, sf), _D25_COLS)
+    out = ws.relative_diagnostics(labeled(spark, sf), RELATIVE_COLS)
     return round_doubles(out.select("row_id", *_D25))
 
 
