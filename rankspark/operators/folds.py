@@ -106,7 +106,9 @@ def query_strata_stats(df: DataFrame, group: str = GROUP_COL) -> DataFrame:
     """First random_bool and month (row order), max booking per query."""
     rb = F.coalesce(F.col("random_bool").cast("int"), F.lit(-1)) if "random_bool" in df.columns else F.lit(-1)
     hb = F.coalesce(F.col(BOOKING_COL).cast("int"), F.lit(0)) if BOOKING_COL in df.columns else F.lit(0)
-    order = F.col(ROW_ID) if ROW_ID in df.columns else F.monotonically_increasing_id()
+    if ROW_ID not in df.columns:
+        raise ValueError(f"the first row of a search is the one with the smallest {ROW_ID}, which is absent")
+    order = F.col(ROW_ID)
     base = df.select(group, rb.alias("_rb"), search_month(df).alias("_m"), hb.alias("_hb"),
                      order.alias("_ord"))
     return base.groupBy(group).agg(F.min_by("_rb", "_ord").alias("random_bool"),

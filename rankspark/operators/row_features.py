@@ -163,7 +163,7 @@ def position_fit_source(fit: DataFrame) -> DataFrame:
 
     The 'any exist' test is a one-row aggregate cross-joined to the rows."""
     if "position" not in fit.columns:
-        raise ValueError("position is required for historical position features.")
+        raise ValueError("position statistics need a position column")
     base = fit.filter(F.col("position").isNotNull())
     if "random_bool" not in base.columns:
         return base

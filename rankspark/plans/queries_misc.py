@@ -3,6 +3,8 @@ model steps (M1-M10, D35) and the full feature build (A16)."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions.expr import md5_key
@@ -13,7 +15,7 @@ from ..sources.tables import convert_csv_to_parquet, load_dataset, sample_by_gro
 from .catalog import labeled, register, round_doubles, test, train
 from .oracle import with_base
 from .workflows import WorkflowConfig, add_aux_position_feature, build_features, fit_predict, run_oof_experiment, \
-    run_validation, run_multi_split_validation
+    run_validation, run_final, run_multi_split_validation
 
 QUICK = WorkflowConfig(folds=2, models=("ranker", "booking", "click"), weight_step=0.1, feature_set="light",
                        params=md.ModelParams(max_iter=10, max_depth=4))
@@ -189,13 +191,20 @@ def m5_m6_raw_id_models(spark, sf):
 
 @register("m7_m9_oof_workflow")
 def m7_m9_oof_workflow(spark, sf):
-    res = run_oof_experiment(labeled(spark, sf).filter(F.col("srch_id") % 5 != 0), test(spark, sf), QUICK)
-    return res["metrics"]
+    res = run_oof_experiment(train(spark, sf), test(spark, sf), replace(QUICK, use_meta_ranker=True))
+    scores = res["test_scores"].agg(F.count("final_score").cast("double").alias("value"))
+    return res["metrics"].unionByName(scores.select(F.lit("test_scores").alias("metric"), "value"))
 
 
 @register("m10_v7_holdout_validation")
 def m10_v7_holdout_validation(spark, sf):
-    return run_multi_split_validation(labeled(spark, sf), QUICK, ("time", "random"))
+    """All three strategies, then the refit with the primary one's best iteration; the rows of its submission join the metrics."""
+    out, best = run_multi_split_validation(train(spark, sf), QUICK)
+    path = sinks.output_dir(spark, "final")
+    scored = run_final(train(spark, sf), test(spark, sf), QUICK, best, path)
+    n = scored.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit("final").alias("split_strategy"), F.lit(False).alias("is_primary"), F.lit("test_rows").alias("metric"), "value")
+    return out.unionByName(n)
 
 
 @register("d35_importance_by_family")

@@ -160,8 +160,6 @@ MISSING_VALUE_FEATURE_COLS = (
 
 ZERO_AS_MISSING_COLS = ("prop_log_historical_price",)
 
-PROP_PROFILE_STATS = ("mean", "median")
-
 PROP_PROFILE_SOURCE_COLS = (
     "price_usd", "prop_starrating", "prop_review_score", "prop_location_score1",
     "prop_location_score2", "prop_log_historical_price",
@@ -180,14 +178,7 @@ RAW_ID_CATEGORICAL_COLS = (
     "srch_saturday_night_bool",
 )
 
-META_CONTEXT_COLS = ("random_bool", "search_month")
-
 # Defaults of the pipeline parameters.
-DEFAULT_SEED = 2026
-DEFAULT_TE_SMOOTHING = 40.0
-DEFAULT_TE_FOLDS = 5
-DEFAULT_OOF_FOLDS = 5
-DEFAULT_NDCG_K = 5
 POPULARITY_ALPHA = 100.0
 STACKING_MIN_DELTA = 0.003
 # ---- end of fixed values ---------------------------------------------------
