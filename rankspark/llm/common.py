@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +30,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored = path
+    return out
+
+
+def discard(spark: SparkSession, tables: list[DataFrame]) -> None:
+    """Delete stored tables that nothing reads any more, that is once what was made of them is stored itself."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for df in tables:
+        path = hadoop.Path(df._stored)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Spark deletes the files of finished shuffles when the driver's JVM collects their handles: ask it to, and give its cleaner a moment."""
+    for _ in range(2):  # Python's handles go first, then those of the JVM that they held
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def as_bytes(col: str | Column) -> Column:
