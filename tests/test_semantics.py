@@ -105,9 +105,10 @@ def test_stratified_folds_balanced_and_groups_whole(spark):
 
 def test_bucket_edges_right_closed(spark):
     fit = spark.createDataFrame([(float(v),) for v in range(1, 11)], "x double")
-    edges = ft.bucket_edges(fit, "x", 2)
+    specs = [("x", "b", 2)]
+    edges = ft.bucket_edges(fit, specs)
     app = spark.createDataFrame([(5.5,), (5.0,), (None,), (0.0,), (11.0,)], "x double")
-    got = [r.b for r in ft.apply_buckets(app, "x", "b", edges).collect()]
+    got = [r.b for r in ft.apply_buckets(app, specs, edges).collect()]
     assert got == [1, 0, -1, 0, 1]
 
 
