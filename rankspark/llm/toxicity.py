@@ -9,9 +9,9 @@ normalised by the text's length, give the score.
 The lexicon is learned from labelled rows that are not held out
 (crc32 of the id as text, modulo 3, is 1): at most ``per_class`` rows of each
 label, those whose hashed id is smallest.  Document counts of all their words
-and word beginnings are summed in Spark, one row for texts that share the
-smallest hash of their long words (copies would make any of their words look
-toxic).  Terms far more frequent in toxic rows are candidates.  Those in
+and word beginnings are summed in Spark, one row (that of the smallest id) for
+texts of a label that are alike in full when folded (copies would make any of
+their words look toxic).  Terms far more frequent in toxic rows are candidates.  Those in
 ``share`` of the toxic rows are taken, and of the rest those that a greedy
 cover needs.  A two-weight logistic curve maps hits to 0..1.  The bounds
 are ``per_class``, ``candidates`` and ``lexicon``: they limit the model's
@@ -26,9 +26,9 @@ unchanged; columns named as the results are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -84,9 +84,8 @@ def terms(folded: str) -> set[str]:
 
 
 def signature(text: str | None) -> int:
-    """Smallest hash of a text's words of eight letters or more (of its whole text without such words)."""
-    folded = fold(text)
-    return min((zlib.crc32(w.encode()) for w in set(folded.split()) if len(w) > 7), default=-1 - zlib.crc32(folded.encode()))
+    """Hash of a text's folded words, all in order."""
+    return int.from_bytes(hashlib.blake2b(fold(text).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
 @dataclass
@@ -193,10 +192,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def sig(text: pd.Series) -> pd.Series:
         return pd.Series([signature(t) for t in text], dtype="int64")
 
-    # at most 2 * per_class rows of two numbers
     sample = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-                    .join(F.broadcast(picked), "doc_id").select("text", "y", sig("text").alias("sig")), "toxic-sample")
-    once = sample.dropDuplicates(["sig", "y"])
+                    .join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y", sig("text").alias("sig")), "toxic-sample")
+    once = stored(sample.groupBy("sig", "y").agg(F.min(F.struct("doc_id", "text")).alias("first")).select("first.text", "y"), "toxic-once")
     n = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     model = Model(exceptions=[f" {' '.join(fold(e).split())} " for e in exceptions])
     if not n.get(0) or not n.get(1):

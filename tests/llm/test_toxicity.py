@@ -39,6 +39,16 @@ def test_held_out_accuracy_on_the_sample_tables(spark):
     assert np.isfinite(got.score).all() and got.score.between(0, 1).all()
 
 
+def test_different_texts_that_share_a_long_word_all_count(spark, docs_of):
+    shared = "extraordinary"
+    assert len({T.signature(f"{shared} {w}") for w in ("one", "two", "three", "one two")}) == 4
+    assert T.signature("Th3 idiot, twice") == T.signature("the 1d10t twice")
+    rows = [(i, f"{shared} {'idiot' if i % 3 == 0 else 'fine'} {chr(97 + i % 26) * 3} {chr(97 + i // 26) * 3}") for i in range(90)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int, toxic int")
+    model = T.learn(docs_of(rows), labels)
+    assert any(" idiot ".startswith(t) for t in model.weights) and shared[:4] not in "".join(model.weights)
+
+
 def test_null_empty_long_repeated_and_clashing_columns(spark, docs_of):
     rows = [(i, f"word {'idiot' if i % 3 == 0 else 'fine'} text {i}") for i in range(60)]
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(60)] + [(None, 1, 1), (3, 0, None), (4, 0, 0)], "doc_id long, quality int, toxic int")
