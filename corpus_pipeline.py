@@ -62,7 +62,7 @@ def drop_repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.with_leaks(_packed(docs), table(spark, sf_dir, "benchmark"))
+    found = decontam.with_leaks(_packed(docs), table(spark, sf_dir, "benchmark"), whole=True)
     return found.where(F.size("leaks") == 0).select("_row.*")
 
 

@@ -18,7 +18,9 @@ threshold, and only items of such blocks are scored.
 A retrieved item is verified in the passage and its neighbours: of its
 question and of its answer at least ``overlap`` of the five-word shingles
 must occur (of fewer than five words: all as one).  Without a column for the
-answer, the last third of an item's words is taken as the answer.
+answer, the last third of an item's words is taken as the answer.  That cut is
+made up; with ``whole`` an item cut so is also taken when ``overlap`` of the
+five-word shingles of the uncut item occur, those over the cut included.
 
 The index goes to the executors by broadcast, behind a check: items beyond
 ``shard_chars`` characters are dealt to several index shards, each of which
@@ -56,13 +58,13 @@ def shingles(ws: list[bytes], size: int = 5) -> set[bytes]:
 class Index:
     """Impacts of a shard's items, in blocks."""
 
-    def __init__(self, items: list[tuple[int, list[bytes], int]], impacts: list[dict[bytes, float]], common: dict[bytes, int],
+    def __init__(self, items: list[tuple[int, list[bytes], int, bool]], impacts: list[dict[bytes, float]], common: dict[bytes, int],
                  threshold: float, overlap: float, stride: int, block: int = 8):
-        """``items``: id, words, number of question words; ``common``: items of the whole benchmark that hold a term."""
+        """``items``: id, words, number of question words, whether uncut shingles count too; ``common``: items of the whole benchmark that hold a term."""
         self.items, self.threshold, self.overlap, self.stride, self.block = items, threshold, overlap, stride, block
         self.terms = {t: i for i, t in enumerate(sorted({t for m in impacts for t in m}))}
         self.impacts = [{self.terms[t]: w for t, w in m.items()} for m in impacts]
-        self.parts = [(shingles(ws[:q]), shingles(ws[q:])) for _, ws, q in items]
+        self.parts = [(shingles(ws[:q]), shingles(ws[q:])) + ((shingles(ws),) if uncut else ()) for _, ws, q, uncut in items]
         by_term = defaultdict(list)
         for i, m in enumerate(self.impacts):
             for t, w in m.items():
@@ -149,12 +151,12 @@ class Index:
                 found[text, i] = max(found.get((text, i), 0.0), score)
                 spots[text, i].append(at)
         for (text, i), score in sorted(found.items()):
-            best = (0.0, 0.0)
+            best, whole = (0.0, 0.0), 0.0
             for at in spots[text, i]:
                 near = shingles_of(cut[text][max(0, at - self.stride):at + 3 * self.stride], self.parts[i])
-                q, a = (len(x & y) / len(x) if x else 1.0 for x, y in zip(self.parts[i], near))
-                best = max(best, (q, a), key=min)
-            if min(best) >= self.overlap:
+                q, a, *uncut = (len(x & y) / len(x) if x else 1.0 for x, y in zip(self.parts[i], near))
+                best, whole = max(best, (q, a), key=min), max(whole, *uncut, 0.0)
+            if max(min(best), whole) >= self.overlap:
                 out[text].append((self.items[i][0], float(score), *best))
         return out
 
@@ -178,7 +180,7 @@ def shingles_of(ws: list[bytes], parts: tuple[set[bytes], ...]) -> list[set[byte
 
 
 def indexes(benchmark: DataFrame, threshold: float = 0.5, overlap: float = 0.8, stride: int = 64, k1: float = 1.2, b: float = 0.75,
-            id_col: str = "item_id", text_col: str = "text", answer_col: str | None = None, shard_chars: int = 1 << 24) -> list[Index]:
+            id_col: str = "item_id", text_col: str = "text", answer_col: str | None = None, shard_chars: int = 1 << 24, whole: bool = False) -> list[Index]:
     """Index shards of at most about ``shard_chars`` characters of items."""
     @F.pandas_udf("array<binary>")
     def cut(text: pd.Series) -> pd.Series:
@@ -208,7 +210,7 @@ def indexes(benchmark: DataFrame, threshold: float = 0.5, overlap: float = 0.8,
             own = sum(t.w for t in r.terms)
             impacts.append({bytes(t.term): t.w / own for t in sorted(r.terms, key=lambda t: bytes(t.term))})
             common.update((bytes(t.term), t.df) for t in r.terms)
-        found = [(r.item.item_id, [bytes(w) for w in r.item.words], r.item.n_q) for r in rows]
+        found = [(r.item.item_id, [bytes(w) for w in r.item.words], r.item.n_q, whole and answer_col is None) for r in rows]
         out.append(Index(found, impacts, common, threshold, overlap, max(stride, longest)))
     return out
 

@@ -25,7 +25,7 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leak_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leak_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,23 @@ def test_empty_tables_and_an_answer_column(spark, docs_of):
     assert D.leak_pairs(docs_of([]), spark.createDataFrame([(1, "a")], ITEM)).count() == 0
     bench = spark.createDataFrame([(5, "what is six times seven", "forty two")], "item_id long, text string, key string")
     assert [(r.doc_id, r.item_id) for r in D.leak_pairs(docs, bench, answer_col="key").collect()] == [(1, 5)]
+
+
+def test_near_copies_with_a_word_changed_in_the_last_third(spark, docs_of, tmp_path):
+    item = [f"w{i}" for i in range(37)]
+    near, far, moved = list(item), list(item), item[25:] + item[:25]
+    near[30] = "x"  # of the whole 28 of 33 shingles stay, of the last third 4 of 9
+    far[8] = far[20] = far[30] = "x"
+    rows = [(1, f"a b {' '.join(near)} c"), (2, f"a b {' '.join(far)} c"), (3, " ".join(item)), (4, " ".join(moved))]
+    bench = spark.createDataFrame([(5, " ".join(item))], ITEM)
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    from rankspark.llm.queries import op2_decontaminate
+    got = {r.doc_id: (r.question_overlap, r.answer_overlap) for r in op2_decontaminate(spark, str(tmp_path)).collect()}
+    assert set(got) == {1, 3, 4} and got[1] == (1, pytest.approx(4 / 9))
+    import corpus_pipeline
+    left = corpus_pipeline.drop_benchmark_texts(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert [r.doc_id for r in left.collect()] == [2]
+    # a real answer column keeps the strict test of both
+    keyed = spark.createDataFrame([(5, " ".join(item[:25]), " ".join(item[25:]))], "item_id long, text string, key string")
+    assert {r.doc_id for r in D.leak_pairs(docs_of(rows), keyed, answer_col="key", whole=True).collect()} == {3, 4}
