@@ -13,6 +13,3 @@ def spark():
     s = get_session(8, shuffle_partitions=8, app="rankspark-tests")
     yield s
     s.stop()
-
-
-SMALL_SF = "/root/testdata/sf0.001"
