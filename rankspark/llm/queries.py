@@ -12,6 +12,7 @@ from rankspark.llm.decontam import leak_pairs
 from rankspark.llm.lmscore import score
 from rankspark.llm.mixing import mix
 from rankspark.llm.simhash import near_duplicates
+from rankspark.llm.spandedup import span_report
 from rankspark.llm.suffixdedup import dedup_report
 from rankspark.llm.toolcalls import CHAT_SCHEMAS, SCHEMA, conversation_calls, link
 from rankspark.llm.topk import top_k
@@ -64,6 +65,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
 
 
+def op13_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_report(table(spark, sf_dir, "documents"), length=50)
+
+
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op2_decontaminate": op2_decontaminate,
@@ -75,6 +80,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_tool_calls": op9_tool_calls,
     "op10_topk": op10_topk,
+    "op13_span_dedup": op13_span_dedup,
 }
 
 _OP10 = """
@@ -127,4 +133,15 @@ SELECT conv_id, conv_id || ':' || ref AS call_id, turn, level, called AND found
     || CASE WHEN found THEN ',"result":' || to_json(result) ELSE '' END || ',"turn":' || turn || '}' AS canonical
 FROM e"""
 
-ORACLES: dict[str, str] = {"op1_warc_index": _OP1, "op9_tool_calls": _OP9, "op10_topk": _OP10}
+_OP13 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+k AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(list_slice(w, i, i + 49), ' ')) AS first FROM s),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM k WHERE first < doc_id),
+p AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+n AS (SELECT p.doc_id, count(r.j) AS n_removed, string_agg(CASE WHEN r.j IS NULL THEN p.word END, ' ' ORDER BY p.j) AS kept
+  FROM p LEFT JOIN r ON p.doc_id = r.doc_id AND p.j = r.j GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id"""
+
+ORACLES: dict[str, str] = {"op1_warc_index": _OP1, "op9_tool_calls": _OP9, "op10_topk": _OP10, "op13_span_dedup": _OP13}
