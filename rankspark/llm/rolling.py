@@ -6,13 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-#: Symbols hashed at once, so that very long texts take bounded memory.
-CHUNK = 1 << 20
+#: Symbols hashed at once, so that very long texts take bounded memory, and the longest stretch.
+CHUNK, MARGIN = 1 << 20, 4096
+#: Words of more bytes are hashed on their own.
+LONG = 256
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\x0b\x0c\r")] = True
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -21,11 +26,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-UP, DOWN = _powers(BASE, CHUNK + 128), _powers(INVERSE, CHUNK + 128)
+UP, DOWN = _powers(BASE, CHUNK + MARGIN), _powers(INVERSE, CHUNK + MARGIN)
 
 
 def sums(b: np.ndarray) -> np.ndarray:
-    """Prefix sums from which the hash of any stretch follows (of at most ``CHUNK`` + 128 symbols)."""
+    """Prefix sums from which the hash of any stretch follows (of at most ``CHUNK + MARGIN`` symbols)."""
     total = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * UP[:len(b)], dtype=np.uint64, out=total[1:])
     return total
@@ -44,6 +49,50 @@ def stretch(total: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
     return mixed((total[start + size] - total[start]) * DOWN[start])
 
 
+def spans(symbols: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of at most ``MARGIN`` symbols of a sequence of any length; starts ascend."""
+    out = np.zeros(len(start), np.uint64)
+    cut = np.searchsorted(start, np.arange(0, len(symbols) + CHUNK, CHUNK))
+    for i, (a, z) in enumerate(zip(cut[:-1], cut[1:])):
+        if z > a:
+            base = i * CHUNK
+            total = sums(symbols[base:base + CHUNK + MARGIN])
+            out[a:z] = mixed((total[stop[a:z] - base] - total[start[a:z] - base]) * DOWN[start[a:z] - base])
+    return out
+
+
+class Words:
+    """The words of several texts, end to end: where they lie in ``flat``, their hashes, and each text's first word."""
+
+    def __init__(self, texts: list[bytes]):
+        self.flat = b"\n".join(texts)
+        b = np.frombuffer(self.flat, np.uint8)
+        edge = np.diff(np.concatenate(([True], _SPACE[b], [True])).astype(np.int8))
+        self.start, self.stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        offset = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.first = np.searchsorted(self.start, offset)
+        long = self.stop - self.start > LONG
+        self.hashes = spans(b, self.start, np.where(long, self.start, self.stop))
+        for i in np.flatnonzero(long):
+            self.hashes[i] = xxhash.xxh3_64_intdigest(self.flat[self.start[i]:self.stop[i]])
+
+    def joined(self, a: int, z: int) -> bytes:
+        """Words ``a`` to ``z`` - 1, a space between them."""
+        return b" ".join(self.flat[self.start[a]:self.stop[z - 1]].split())
+
+
+def grouped(texts: list[bytes], size: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes."""
+    begin = held = 0
+    for i, t in enumerate(texts):
+        held += len(t) + 1
+        if held >= size:
+            yield begin, i + 1
+            begin, held = i + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def slid(x: np.ndarray, w: int, better) -> np.ndarray:
     """``better`` (minimum or maximum) over every ``w`` neighbours."""
     n = len(x)

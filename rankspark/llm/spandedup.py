@@ -4,15 +4,16 @@ Removes each word covered by a window of ``length`` words whose sequence also
 starts in a document with a smaller id.  Words are compared unchanged.
 
 * Reference.  A text that shares no window with another needs no automaton.
-  In every window the ``gram`` words of smallest hash are chosen, alike in
-  equal windows; a window holds half of its other words before the gram, or
-  half of them after it, and that half with the gram is the window's *core*.
-  The windows of one core in one text are a stretch of the text.  Hashes of
-  cores alone are shuffled and counted; a bit table of fixed size
-  (``filter_bits``) of those met twice is broadcast, and only stretches whose
-  core has its bit go on (wrongly passed ones cost time, nothing else).
-  Cores of one document only are dropped then.  Equal stretches are one
-  reference row with the smallest id of a document that holds it.
+  In every window the gram of ``GRAM`` words with the smallest hash is chosen,
+  alike in equal windows; the windows of one gram's place are a stretch of the
+  text.  A window holds half of its other words before the gram, or half of
+  them after it; hashes of such halves with the gram are shuffled and counted,
+  and a bit table of fixed size (``filter_bits``) of those met twice is
+  broadcast.  Only windows with their bit go on (wrongly passed ones cost
+  time, nothing else).  Equal stretches are one reference row with the
+  smallest id of a document that holds it.  A row's *core* is what all windows
+  of its kind have in common, at first the gram; cores of one document only
+  are dropped.
 * Shards.  Reference rows are dealt by core, so that a window finds all its
   other occurrences in its own shard; a shard is as many whole cores as have
   ``shard_words`` words.
@@ -53,31 +54,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankspark.llm.common import as_bytes, discard, release, stored
-from rankspark.llm.rolling import bit_table, in_table, sampled
+from rankspark.llm.rolling import MARGIN, Words, bit_table, grouped, in_table, sampled, spans
 
 #: Words of a sampled gram.
 GRAM = 5
-#: Word hashes that a worker keeps.
-KEPT = 1 << 19
 #: ``lo``: the first of ``n`` windows, ``j``: its words before the gram, from ``a`` to ``z`` for any window of the core.
 PLACE = "h long, x long, doc_id long, mark long, lo long, n int, j int, a int, z int, words binary"
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _Hashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_HASHES) > KEPT:
-        _HASHES.clear()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-
-
 class Automaton:
     """Suffix automaton of several sequences; a state's ``low`` is the smallest number given with a sequence that ends there."""
 
@@ -168,50 +152,66 @@ def first_holders(rows: pd.DataFrame, length: int) -> list[list[int]]:
     return [shard.lows(words, length) for words in cut]
 
 
+class _Halves:
+    """The places of texts, and for each the hash of half a window before its gram and after it (0: no window holds it)."""
+
+    def __init__(self, texts: list[bytes], length: int):
+        self.words = Words(texts)
+        first = self.words.first
+        p, lo, hi, self.gram, left, right = sampled(self.words.hashes, length, GRAM)
+        self.text = np.searchsorted(first, p, "right") - 1
+        # no window goes over a text's end
+        self.p, self.lo, self.hi = p, np.maximum(lo, first[self.text]), np.minimum(hi, first[self.text + 1] - length)
+        half = (length - GRAM) // 2
+        some = self.lo <= self.hi
+        self.left = np.where(some & (p - self.lo >= half), left, np.uint64(0))
+        self.right = np.where(some & (p - self.hi <= length - GRAM - half), right, np.uint64(0))
+
+
 def _places(docs: DataFrame, length: int, filter_bits: int) -> DataFrame:
-    """Stretches with a shared core in ``docs(doc_id, mark, data)``; ``words`` only once in a while for equal ones."""
+    """Stretches of windows that can be shared in ``docs(doc_id, mark, data)``; ``words`` only once in a while for equal ones."""
     half = (length - GRAM) // 2
 
-    def cores(data: bytes):
-        words = data.split()
-        p, lo, hi, _, left, right = sampled(word_hashes(words), length, GRAM)
-        # windows with half of the other words before the gram, then those with half of them after it
-        first, last = np.concatenate((lo, np.maximum(lo, p - half + 1))), np.concatenate((np.minimum(hi, p - half), hi))
-        some = first <= last
-        return words, np.concatenate((left, right))[some], first[some], last[some], np.concatenate((p, p))[some] - first[some]
-
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for i in range(0, len(b), 1000):
-                own = [np.unique(cores(x)[1]) for x in b["data"].iloc[i:i + 1000]]
-                value, count = np.unique(np.concatenate(own), return_counts=True)
+            texts = b["data"].tolist()
+            for i, j in grouped(texts):
+                own = _Halves(texts[i:j], length)
+                h, text = np.concatenate((own.left, own.right)), np.concatenate((own.text, own.text))
+                order = np.lexsort((text, h))
+                h, text = h[order], text[order]
+                new = (h != 0) & np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1]))) if len(h) else h != 0
+                value, count = np.unique(h[new], return_counts=True)
                 # a hash of several texts of the batch counts twice, which is enough
                 yield pd.DataFrame({"h": np.repeat(value, np.minimum(count, 2)).view(np.int64)})
 
     spark = docs.sparkSession
-    shared = stored(docs.select("data").mapInPandas(hashes, "h long").groupBy("h").count().where("count > 1").select("h"), "cores")
+    shared = stored(docs.select("data").mapInPandas(hashes, "h long").groupBy("h").count().where("count > 1").select("h"), "halves")
     table = spark.sparkContext.broadcast(bit_table(shared, filter_bits))
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            seen: set[tuple[int, int]] = set()
-            for i in range(0, len(b), 500):
-                out = []
-                for doc, mark, data in zip(*(b[c].iloc[i:i + 500] for c in ("doc_id", "mark", "data"))):
-                    words, h, first, last, before = cores(data)
-                    some = np.flatnonzero(in_table(table.value, h))
-                    if not len(some):
-                        continue
-                    flat = b" ".join(words)
-                    at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)))
-                    for key, lo, hi, j in zip(h[some].view(np.int64).tolist(), first[some].tolist(), last[some].tolist(), before[some].tolist()):
-                        own = flat[at[lo]:at[hi + length] - 1]
-                        x = _signed(xxhash.xxh3_64_intdigest(own))
-                        new = (key, x) not in seen
-                        seen.add((key, x))
-                        a, z = (half, length - GRAM) if j >= half else (0, half - 1)
-                        out.append((key, x, doc, mark, lo, hi - lo + 1, j, a, z, own if new else None))
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in PLACE.split(", ")])
+            texts, seen = b["data"].tolist(), set()
+            for i, j in grouped(texts):
+                own = _Halves(texts[i:j], length)
+                left, right = ((h != 0) & in_table(table.value, h) for h in (own.left, own.right))
+                some = np.flatnonzero(left | right)
+                left, right, p, text = left[some], right[some], own.p[some], own.text[some]
+                # windows that hold only a half met once go
+                lo = np.where(left, own.lo[some], np.maximum(own.lo[some], p - (length - GRAM - half)))
+                hi = np.where(right, own.hi[some], np.minimum(own.hi[some], p - half))
+                order = np.argsort(lo, kind="stable")
+                x = np.zeros(len(lo), np.uint64)
+                x[order] = spans(own.words.hashes, lo[order], hi[order] + length)
+                h, x = own.gram[some].view(np.int64), x.view(np.int64)
+                words = np.full(len(h), None, object)
+                for k in np.unique(np.column_stack((h, x)), axis=0, return_index=True)[1].tolist():
+                    key = int(h[k]), int(x[k])
+                    if key not in seen:
+                        seen.add(key)
+                        words[k] = own.words.joined(int(lo[k]), int(hi[k]) + length)
+                yield pd.DataFrame({"h": h, "x": x, "doc_id": b["doc_id"].to_numpy()[i:j][text], "mark": b["mark"].to_numpy()[i:j][text],
+                                    "lo": lo - own.words.first[text], "n": hi - lo + 1, "j": p - lo, "a": 0, "z": length - GRAM, "words": words})
 
     return docs.select("doc_id", "mark", "data").mapInPandas(places, PLACE)
 
@@ -232,7 +232,7 @@ def _halves(rows: DataFrame, length: int) -> DataFrame:
                     if low <= high and top >= end:
                         own = _cut(words, j - top, length + top - end)
                         core = _cut(words, j - low, length - high + low)
-                        out.append((_signed(xxhash.xxh3_64_intdigest(core, (low << 8) + high)), _signed(xxhash.xxh3_64_intdigest(own)), doc, mark,
+                        out.append((_signed(xxhash.xxh3_64_intdigest(core, (low << 16) + high)), _signed(xxhash.xxh3_64_intdigest(own)), doc, mark,
                                     lo + j - top, top - end + 1, top, low, high, own))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in PLACE.split(", ")])
 
@@ -241,8 +241,8 @@ def _halves(rows: DataFrame, length: int) -> DataFrame:
 
 def repeated_windows(docs: DataFrame, length: int = 50, filter_bits: int = 27, shard_words: int = 1 << 16) -> DataFrame:
     """``docs(doc_id long, mark long, data binary)`` -> ``doc_id, mark, starts``: first words of windows that a smaller id has too."""
-    if length <= GRAM:
-        raise ValueError(f"windows have more than {GRAM} words")
+    if not GRAM < length <= MARGIN // 2:
+        raise ValueError(f"windows have more than {GRAM} words and at most {MARGIN // 2}")
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     live = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= 2 * length - 1))
