@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm.bpecount import token_counts
-from rankspark.llm.common import table
+from rankspark.llm.collocations import collocations
+from rankspark.llm.common import WORD, table
 from rankspark.llm.decontam import leak_pairs
 from rankspark.llm.lmscore import score
 from rankspark.llm.mixing import mix
+from rankspark.llm.periodruns import longest_run, periodic_runs
 from rankspark.llm.simhash import near_duplicates
 from rankspark.llm.spandedup import span_report
 from rankspark.llm.suffixdedup import dedup_report
@@ -65,6 +67,31 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=100, longest=5, share=100, top=2000)
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` where one text in ten goes on as a repetition from some word on (a null id counts as the empty text)."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)).alias("w"))
+    n = F.greatest(F.size("w").cast("long"), F.lit(1).cast("long"))
+    marked = words.withColumn("g", F.expr("h div 10")).withColumn("a", F.col("g") % n).withColumn("n", n) \
+        .withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    moved = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1),
+                        lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return marked.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.size("w") > 0), F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    found = periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")), least=6, times=4).withColumn("best", longest_run())
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op13_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_report(table(spark, sf_dir, "documents"), length=50)
 
@@ -80,6 +107,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_tool_calls": op9_tool_calls,
     "op10_topk": op10_topk,
+    "op11_collocations": op11_collocations,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_span_dedup": op13_span_dedup,
 }
 
@@ -133,6 +162,27 @@ SELECT conv_id, conv_id || ':' || ref AS call_id, turn, level, called AND found
     || CASE WHEN found THEN ',"result":' || to_json(result) ELSE '' END || ',"turn":' || turn || '}' AS canonical
 FROM e"""
 
+_OP11 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+m AS (SELECT unnest(range(1, 6)) AS m),
+i AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, m WHERE len(w) >= m),
+f AS (SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, m, count(*) AS f FROM i GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+k AS (SELECT c.*, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.phrase, k.a, l.f AS l, r.f AS r, n.n, k.k,
+    CAST((CAST(1000 AS HUGEINT) * k.a * n.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM k JOIN n ON n.lang = k.lang
+  JOIN f l ON l.lang = k.lang AND l.m = k.k AND l.phrase = array_to_string(list_slice(k.ws, 1, k.k), ' ')
+  JOIN f r ON r.lang = k.lang AND r.m = k.m - k.k AND r.phrase = array_to_string(list_slice(k.ws, k.k + 1, k.m), ' ')
+  WHERE NOT EXISTS (SELECT 1 FROM c x WHERE x.lang = k.lang AND x.m > k.m AND 100 * x.a >= 100 * k.a
+    AND contains(' ' || x.phrase || ' ', ' ' || k.phrase || ' '))),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b QUALIFY rank <= 2000"""
+
 _OP13 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
@@ -144,4 +194,4 @@ n AS (SELECT p.doc_id, count(r.j) AS n_removed, string_agg(CASE WHEN r.j IS NULL
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id"""
 
-ORACLES: dict[str, str] = {"op1_warc_index": _OP1, "op9_tool_calls": _OP9, "op10_topk": _OP10, "op13_span_dedup": _OP13}
+ORACLES: dict[str, str] = {"op1_warc_index": _OP1, "op9_tool_calls": _OP9, "op10_topk": _OP10, "op11_collocations": _OP11, "op13_span_dedup": _OP13}
