@@ -20,40 +20,11 @@ from ..specs import (FREQUENCY_KEY_SPECS, ITEM_COL, MISSING_VALUE_FEATURE_COLS,
                      PROP_PROFILE_DELTA_COLS, PROP_PROFILE_SOURCE_COLS, SEGMENT_PROFILE_SOURCE_COLS,
                      SEGMENT_PROFILE_SPECS, ZERO_AS_MISSING_COLS, AFFINITY_KEY_SPECS,
                      BUCKET_SOURCE_SPECS)
+from .keyed import keyed
+from .lookups import is_struct, lookup, with_globals  # noqa: F401  (is_struct: part of this module's interface)
 from .row_features import cleaned_missing
 
 
-def is_struct(df: DataFrame, key: str) -> bool:
-    return isinstance(df.schema[key].dataType, T.StructType)
-
-
-def lookup(df: DataFrame, table: DataFrame, key: str, defaults: dict[str, Column | float] | None = None,
-           ) -> DataFrame:
-    """Left join ``table`` (one row per key) onto ``df`` and fill unmatched
-    rows with ``defaults``.  Scalar keys: null never matches (pandas map);
-    composite (struct) keys: null parts are values, so the join is null-safe."""
-    defaults = defaults or {}
-    t = table.withColumnRenamed(key, "_lk")
-    cond = F.col(key).eqNullSafe(F.col("_lk")) if is_struct(df, key) else (F.col(key) == F.col("_lk"))
-    out = df.join(t, cond, "left").drop("_lk")
-    fills = [F.coalesce(F.col(c), v if isinstance(v, Column) else F.lit(v)).alias(c)
-             for c, v in defaults.items()]
-    if not fills:
-        return out
-    keep = [c for c in out.columns if c not in defaults]
-    return out.select(*keep, *fills)
-
-
-def with_globals(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Every row against a one-row statistics frame.
-
-    The statistics are one struct and so one scalar subquery, planned and run
-    once; its fields are inlined as values into the row expressions.  No join
-    is planned."""
-    g = one_row.select(F.struct(*one_row.columns).alias("_g")).scalar()
-    return df.withColumn("_globals", g).select(*df.columns, *[F.col("_globals")[c].alias(c) for c in one_row.columns])
-
-
 # ---- A1 item numeric profiles ------------------------------------------------
 def prop_profile_source_columns(fit: DataFrame, apply: DataFrame) -> list[str]:
     """Configured profile sources present (and numeric) in both frames."""
@@ -184,49 +155,38 @@ def add_segment_profiles(fit: DataFrame, applies: list[DataFrame], specs=SEGMENT
     glob = fit.agg(*[e for c in src for e in (
         F.avg(dbl(c)).alias(f"_gm_{c}"),
         F.coalesce(F.when(F.stddev_samp(dbl(c)) != 0, F.stddev_samp(dbl(c))), F.lit(1.0)).alias(f"_gs_{c}"))])
-    out = list(applies)
-    for alias, key in specs:
-        if key not in fit.columns:
-            continue
-        t = fit.groupBy(key).agg(*[e for c in src for e in (
-            F.avg(dbl(c)).alias(f"_sm_{alias}_{c}"),
-            F.when(F.stddev_samp(dbl(c)) != 0, F.stddev_samp(dbl(c))).alias(f"_ss_{alias}_{c}"))])
-        nxt = []
-        for df in out:
-            if key not in df.columns:
-                nxt.append(df)
-                continue
-            j = with_globals(lookup(df, t, key), glob)
-            new = []
-            for c in src:
-                mean = F.coalesce(F.col(f"_sm_{alias}_{c}"), F.col(f"_gm_{c}"))
-                std = F.coalesce(F.col(f"_ss_{alias}_{c}"), F.col(f"_gs_{c}"))
+    own = [(key, alias) for alias, key in specs if key in fit.columns]
+
+    def table_of(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.groupBy(*keys).agg(*[e for c in src for e in (
+            F.avg(dbl(c)).alias(f"sm_{c}"), F.when(F.stddev_samp(dbl(c)) != 0, F.stddev_samp(dbl(c))).alias(f"ss_{c}"))])
+
+    out = []
+    for df, j in zip(applies, keyed(fit, applies, own, src, table_of, [f"{s}_{c}" for c in src for s in ("sm", "ss")])):
+        j = with_globals(j, glob)
+        new = []
+        for key, alias in own:
+            for c in src if key in df.columns else ():
+                mean = F.coalesce(F.col(f"_{alias}_sm_{c}"), F.col(f"_gm_{c}"))
+                std = F.coalesce(F.col(f"_{alias}_ss_{c}"), F.col(f"_gs_{c}"))
                 diff = dbl(c) - mean
                 new += [diff.alias(f"{alias}_{c}_segment_mean_diff"),
                         safe_divide(diff, F.when(std != 0, std)).alias(f"{alias}_{c}_segment_zscore")]
-            nxt.append(j.select(*df.columns, *new))
-        out = nxt
+        out.append(j.select(*df.columns, *new))
     return out
 
 
 # ---- A5 frequency ---------------------------------------------------------------
 def add_frequency_features(fit: DataFrame, applies: list[DataFrame], specs=FREQUENCY_KEY_SPECS) -> list[DataFrame]:
     """A5: log1p(count of the key in fit), unseen -> 0."""
-    out = list(applies)
-    for key, alias in specs:
-        if key not in fit.columns:
-            continue
-        name = f"{alias}_log_frequency"
-        t = fit.groupBy(key).agg(F.count(F.lit(1)).alias(f"_cnt_{alias}"))
-        nxt = []
-        for df in out:
-            if key not in df.columns:
-                nxt.append(df)
-                continue
-            j = lookup(df, t, key)
-            nxt.append(j.select(*df.columns, F.log1p(F.coalesce(F.col(f"_cnt_{alias}"), F.lit(0)).cast("double")).alias(name)))
-        out = nxt
-    return out
+    own = [s for s in specs if s[0] in fit.columns]
+    return [j.select(*df.columns, *[F.log1p(F.coalesce(F.col(f"_{alias}_n"), F.lit(0)).cast("double")).alias(f"{alias}_log_frequency")
+                                    for key, alias in own if key in df.columns])
+            for df, j in zip(applies, keyed(fit, applies, own, [], _counted, ["n"]))]
+
+
+def _counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- A6 context affinity --------------------------------------------------------
@@ -234,31 +194,25 @@ def add_affinity_features(fit: DataFrame, applies: list[DataFrame], specs=AFFINI
     """Cross count of (left, right) in fit, its shares of the left and right
     counts, and lift (cross + 1)/(left*right/N + 1)."""
     n_fit = fit.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).cast("double").alias("_n_fit"))
-    out = list(applies)
-    for alias, lcol, rcol in specs:
-        if lcol not in fit.columns or rcol not in fit.columns:
-            continue
-        cross = fit.groupBy(F.struct(lcol, rcol).alias("_pair")).agg(F.count(F.lit(1)).alias("_cross"))
-        left = fit.groupBy(lcol).agg(F.count(F.lit(1)).alias("_left"))
-        right = fit.groupBy(rcol).agg(F.count(F.lit(1)).alias("_right"))
-        nxt = []
-        for df in out:
-            if lcol not in df.columns or rcol not in df.columns:
-                nxt.append(df)
+    own = [s for s in specs if s[1] in fit.columns and s[2] in fit.columns]
+
+    def paired(df: DataFrame) -> DataFrame:
+        """With the pairs as composite keys beside the single ones."""
+        return df.select("*", *[F.struct(left, right).alias(f"_pair_{alias}") for alias, left, right in own if {left, right} <= set(df.columns)])
+
+    singles = dict.fromkeys(c for _, left, right in own for c in (left, right))
+    keys = [(f"_pair_{alias}", f"pair_{alias}") for alias, _, _ in own] + [(c, f"one_{c}") for c in singles]
+    out = []
+    for df, j in zip(applies, keyed(paired(fit), [paired(d) for d in applies], keys, [], _counted, ["n"])):
+        j = with_globals(j, n_fit)
+        new = []
+        for alias, left, right in own:
+            if not {left, right} <= set(df.columns):
                 continue
-            j = df.withColumn("_pair", F.struct(lcol, rcol))
-            j = lookup(j, cross, "_pair")
-            j = lookup(j, left, lcol)
-            j = lookup(j, right, rcol)
-            j = with_globals(j, n_fit)
-            c = F.coalesce(F.col("_cross"), F.lit(0)).cast("double")
-            lc = F.coalesce(F.col("_left"), F.lit(0)).cast("double")
-            rc = F.coalesce(F.col("_right"), F.lit(0)).cast("double")
-            expected = lc * rc / F.col("_n_fit")
-            nxt.append(j.select(*df.columns,
-                                F.log1p(c).alias(f"{alias}_log_count"),
-                                safe_divide(c, lc).alias(f"{alias}_left_share"),
-                                safe_divide(c, rc).alias(f"{alias}_right_share"),
-                                safe_divide(c + 1.0, expected + 1.0).alias(f"{alias}_lift")))
-        out = nxt
+            c, lc, rc = (F.coalesce(F.col(f"_{n}_n"), F.lit(0)).cast("double") for n in (f"pair_{alias}", f"one_{left}", f"one_{right}"))
+            new += [F.log1p(c).alias(f"{alias}_log_count"), safe_divide(c, lc).alias(f"{alias}_left_share"),
+                    safe_divide(c, rc).alias(f"{alias}_right_share"),
+                    safe_divide(c + 1.0, lc * rc / F.col("_n_fit") + 1.0).alias(f"{alias}_lift")]
+        out.append(j.select(*df.columns, *new))
     return out
+

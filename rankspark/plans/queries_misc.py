@@ -160,8 +160,7 @@ def _quick_split(spark, sf):
 @register("m1_booking_click_models")
 def m1_booking_click_models(spark, sf):
     F_fit, F_val, feats = _quick_split(spark, sf)
-    out = fit_predict("booking", F_fit, None, F_val, feats, QUICK)
-    out = fit_predict("click", F_fit, None, out, feats, QUICK)
+    out = fit_predict(("booking", "click"), F_fit, None, F_val, feats, QUICK)
     return out.select("srch_id", "row_id", "booking_score", "click_score")
 
 
@@ -175,8 +174,7 @@ def m2_aux_position_model(spark, sf):
 @register("m3_m4_rankers")
 def m3_m4_rankers(spark, sf):
     F_fit, F_val, feats = _quick_split(spark, sf)
-    out = fit_predict("ranker", F_fit, None, F_val, feats, QUICK)
-    out = fit_predict("second_ranker", F_fit, None, out, feats, QUICK)
+    out = fit_predict(("ranker", "second_ranker"), F_fit, None, F_val, feats, QUICK)
     return out.select("srch_id", "row_id", "ranker_score", "second_ranker_score")
 
 
@@ -184,8 +182,7 @@ def m3_m4_rankers(spark, sf):
 def m5_m6_raw_id_models(spark, sf):
     log = labeled(spark, sf)
     fit, valid = fo.make_group_split(log, "time", 0.2, 2026)
-    out = fit_predict("raw_id_booking", fit, None, valid, [], QUICK)
-    out = fit_predict("raw_id_ranker", fit, None, out, [], QUICK)
+    out = fit_predict(("raw_id_booking", "raw_id_ranker"), fit, None, valid, [], QUICK)
     return out.select("srch_id", "row_id", "raw_id_booking_score", "raw_id_ranker_score")
 
 
