@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -178,3 +178,59 @@ def in_table(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     bits = (len(table) * 8).bit_length() - 1
     at = h >> np.uint64(64 - bits)
     return table[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def met_twice(docs: DataFrame, hashes_of: Callable[[list[bytes]], Iterator[tuple[np.ndarray, np.ndarray]]], buckets: int = 16) -> DataFrame:
+    """Column ``h``: hashes (their first 48 bits) that two or more texts of ``docs(data)`` have.
+
+    ``hashes_of`` gives hashes and the numbers of their texts in ascending blocks of a batch's texts; 0 is none.  Hashes
+    travel as sorted lists of 6 bytes each, by ranges of values: ``buckets`` for each shuffle partition.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(parts * buckets, 1 << 16)
+
+    def give(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+
+        def out():
+            value, count = np.unique(np.concatenate(held), return_counts=True)
+            value = np.repeat(value, np.minimum(count, 2))  # of several texts of the task: twice is enough
+            bucket = ((value >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(16)).astype(np.int64)
+            low = value.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
+            return pd.DataFrame({"bucket": bucket[cut], "hashes": [low[a:z].tobytes() for a, z in zip(cut, [*cut[1:], len(bucket)])]})
+
+        for b in batches:
+            for h, text in hashes_of(b["data"].tolist()):
+                h, text = h[h != 0] >> np.uint64(16), text[h != 0]
+                order = np.lexsort((text, h))
+                h, text = h[order], text[order]
+                held.append(h[np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])))] if len(h) else h)
+                size += len(held[-1])
+                if size > 1 << 20:
+                    yield out()
+                    held, size = [], 0
+        if size:
+            yield out()
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def out(blocks):
+            raw = np.frombuffer(b"".join(blocks), np.uint8).reshape(-1, 6)
+            wide = np.zeros((len(raw), 8), np.uint8)
+            wide[:, :6] = raw
+            value = np.sort(wide.view("<u8").reshape(-1))
+            return pd.DataFrame({"h": (np.unique(value[1:][value[1:] == value[:-1]]) << np.uint64(16)).view(np.int64)})
+
+        at, blocks = None, []
+        for b in batches:
+            for bucket, hashes in zip(b["bucket"], b["hashes"]):
+                if bucket != at and blocks:
+                    yield out(blocks)
+                    blocks = []
+                at = bucket
+                blocks.append(hashes)
+        if blocks:
+            yield out(blocks)
+
+    return docs.select("data").mapInPandas(give, "bucket int, hashes binary").repartition(parts, "bucket").sortWithinPartitions("bucket") \
+        .mapInPandas(count, "h long")
