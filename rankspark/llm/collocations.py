@@ -7,9 +7,9 @@ rounded down.  Candidates inside a longer one that occurs (nearly) as often
 are dropped, the others are ranked by score.
 
 * Word ids.  Words are counted by a map-side combined aggregate.  An id is a
-  64-bit hash of language and word; the table of all words shows that no two
-  share one (else another seed is taken), so ids stand for words exactly, need
-  no dictionary in the tasks, and imply the language.  A bit table of fixed
+  64-bit hash of word and language; the table of all words shows that no two
+  share one (else they are counted with another seed; within a task a second
+  hash is compared), so ids stand for words, need no dictionary in the tasks, and imply the language.  A bit table of fixed
   size of the ids that occur ``least`` times or more is broadcast: other words
   break a phrase (those it passes wrongly only cost time).
 * Filters.  The n ids of a phrase are packed into a key of 64 n bits.  An
@@ -38,7 +38,6 @@ time; ids and extra columns are not used; an empty table gives an empty result.
 from __future__ import annotations
 
 import struct
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,22 +47,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankspark.llm.common import as_bytes, discard, stored
-from rankspark.llm.rolling import bit_table, in_table
+from rankspark.llm.rolling import Words, bit_table, byte_set, grouped, in_table
 
-#: What ends a piece becomes a byte that no text has, and a word of its own.
-BREAK = b"\xff"
-PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
-#: Keys counted at once, keys that a task's filter holds before it goes out, ids that a worker keeps.
-BUFFER, FULL, KEPT = 1 << 19, 1 << 20, 1 << 19
+#: What ends a piece, and what separates words.
+BREAKS = byte_set(b".,;:!?\n\x0b\x0c\r")
+SPACES = BREAKS | byte_set(b" \t")
+#: Keys counted at once, keys that a task's filter holds before it goes out, bytes of texts counted at once, and groups of them.
+BUFFER, FULL, GROUP, GROUPS = 1 << 19, 1 << 20, 1 << 18, 64
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _I1, _I2 = (np.uint64(pow(int(m), -1, 1 << 64)) for m in (_M1, _M2))
 
 
-def split(data: bytes) -> list[bytes]:
-    """Words in lower case, with ``BREAK`` between pieces."""
-    return data.lower().translate(PIECES).replace(BREAK, b" \xff ").split()
-
-
 def _spread(x: np.ndarray) -> np.ndarray:
     """An invertible mix of 64 bits (splitmix64)."""
     x = (x ^ x >> np.uint64(30)) * _M1
@@ -174,52 +168,58 @@ class QuotientFilter:
         return head, restored(head, tail), count[some]
 
 
-class _Ids(dict):
-    """Ids of a language's words; 0 for what breaks a phrase."""
-
-    def __init__(self, lang: str, seed: int, table: np.ndarray):
-        super().__init__({BREAK: 0})
-        self.lang, self.seed, self.table = lang, seed, table
-
-    def __missing__(self, word: bytes) -> int:
-        own = word_id(self.lang, word, self.seed)
-        at = own >> 64 - ((len(self.table) * 8).bit_length() - 1)
-        self[word] = own = own if self.table[at >> 3] >> (7 - (at & 7)) & 1 else 0
-        return own
+def _names(seed: int) -> bytes:
+    """Other bytes in place of all bytes: another hash."""
+    return np.random.default_rng(seed).permutation(256).astype(np.uint8).tobytes()
 
 
-def word_id(lang: str, word: bytes, seed: int) -> int:
-    own = lang.encode()
-    return xxhash.xxh3_64_intdigest(b"%d:%s%s" % (len(own), own, word), seed)
+class Ids:
+    """Ids of the words of texts, in lower case, and the number of the piece of each; ids imply the text's language."""
 
+    def __init__(self, texts: list[bytes], langs: list[str], seed: int):
+        self.words = Words([t.lower() for t in texts], SPACES, _names(seed) if seed else None)
+        salt = {lang: xxhash.xxh3_64_intdigest(lang.encode(), seed) for lang in set(langs)}
+        own = np.fromiter((salt[lang] for lang in langs), np.uint64, len(langs))
+        self.count = np.diff(self.words.first)
+        self.ids = _spread(self.words.hashes ^ np.repeat(own, self.count))
+        # texts are joined by a line feed, so that pieces end with them
+        self.piece = np.cumsum(BREAKS[np.frombuffer(self.words.flat, np.uint8)])[self.words.start]
 
-def _id_column(seed: int):
-    def own(lang: pd.Series, word: pd.Series) -> pd.Series:
-        return pd.Series(np.array([word_id(a, w, seed) for a, w in zip(lang, word)], np.uint64).view(np.int64))
 
-    return F.pandas_udf(own, "long")("lang", "word")
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``docs(lang, data)`` -> ``lang, word, c``."""
+def word_counts(docs: DataFrame, seed: int) -> DataFrame:
+    """``docs(lang, data)`` -> ``lang, word, id, c``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, Counter] = defaultdict(Counter)
+        held: list[tuple] = []
 
         def out():
-            rows = [(lang, w, n) for lang, own in seen.items() for w, n in own.items() if w != BREAK]
-            seen.clear()
-            return pd.DataFrame(rows, columns=["lang", "word", "n"])
+            lang, ids, word, n = (np.concatenate([x[k] for x in held]) for k in range(4))
+            _, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
+            if (word == word[first][inverse]).all():  # else words of one id stay apart, for the table to show
+                n = np.bincount(inverse, n, len(first)).astype(np.int64)
+                lang, ids, word = lang[first], ids[first], word[first]
+            return pd.DataFrame({"lang": pd.Series(lang, dtype=object), "id": ids, "word": pd.Series(word, dtype=object), "n": n})
 
         for b in batches:
-            for lang, x in zip(b["lang"], b["data"]):
-                seen[lang].update(split(x))
-                if len(seen[lang]) > 300_000:
+            langs, texts = b["lang"].tolist(), b["data"].tolist()
+            for i, j in grouped(texts, GROUP):
+                own = Ids(texts[i:j], langs[i:j], seed)
+                ids, first, inverse, n = np.unique(own.ids, return_index=True, return_inverse=True, return_counts=True)
+                # a second hash tells words of one id apart
+                other = Words([own.words.flat], SPACES, _names(seed + (1 << 32))).hashes
+                if (other != other[first][inverse]).any():
+                    both, first, n = np.unique(np.column_stack((own.ids, other)), axis=0, return_index=True, return_counts=True)
+                    ids = np.ascontiguousarray(both[:, 0])
+                w, text = own.words, np.searchsorted(own.words.first, first, "right") - 1
+                spelt = np.empty(len(first), object)
+                spelt[:] = [w.flat[a:z] for a, z in zip(w.start[first].tolist(), w.stop[first].tolist())]
+                held.append((np.array(langs[i:j], object)[text], ids.view(np.int64), spelt, n))
+                if len(held) == GROUPS:
                     yield out()
-            if sum(map(len, seen.values())) > 300_000:
-                yield out()
-        yield out()
+                    held.clear()
+        if held:
+            yield out()
 
-    return docs.mapInPandas(run, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("c"))
+    return docs.mapInPandas(run, "lang string, id long, word binary, n long").groupBy("lang", "word", "id").agg(F.sum("n").alias("c"))
 
 
 def phrase_counts(docs: DataFrame, n: int, least: int, seed: int, words, shorter) -> DataFrame:
@@ -246,7 +246,6 @@ def phrase_counts(docs: DataFrame, n: int, least: int, seed: int, words, shorter
         return ids[at[:, None] + np.arange(n)]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own: dict[str, _Ids] = {}
         held, waiting, size = None, [], 0
 
         def fold():
@@ -258,17 +257,13 @@ def phrase_counts(docs: DataFrame, n: int, least: int, seed: int, words, shorter
             return pd.DataFrame(held.pages(parts), columns=["page", "filter"])
 
         for b in batches:
-            for i in range(0, len(b), 500):
-                ids = [np.zeros(1, np.uint64)]
-                for lang, x in zip(b["lang"].iloc[i:i + 500], b["data"].iloc[i:i + 500]):
-                    if lang not in own or len(own[lang]) > KEPT:
-                        if len(own) > 100:
-                            own.clear()
-                        own[lang] = _Ids(lang, seed, words.value)
-                    cut = split(x)
-                    ids += np.fromiter(map(own[lang].__getitem__, cut), np.uint64, len(cut)), np.zeros(1, np.uint64)
-                flat = np.concatenate(ids)
-                for a in range(0, len(flat), BUFFER):  # pieces of a very long text, with the words that both hold
+            langs, texts = b["lang"].tolist(), b["data"].tolist()
+            for i, j in grouped(texts, GROUP):
+                own = Ids(texts[i:j], langs[i:j], seed)
+                # a place without a word after each piece
+                flat = np.zeros(len(own.ids) + 1 + (int(own.piece[-1]) if len(own.ids) else 0), np.uint64)
+                flat[np.arange(len(own.ids)) + own.piece] = np.where(in_table(words.value, own.ids), own.ids, np.uint64(0))
+                for a in range(0, len(flat), BUFFER):  # parts of a very long text, with the words that both hold
                     found = keys(flat[a:a + BUFFER + n - 1])
                     waiting.append(found)
                     size += len(found)
@@ -314,12 +309,12 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), as_bytes(text_col).alias("data"))
-    counts = stored(word_counts(texts), "words")
     seed = 0
     while True:
-        vocabulary = stored(counts.withColumn("id", _id_column(seed)), "vocabulary")
+        vocabulary = stored(word_counts(texts, seed), "vocabulary")
         if vocabulary.groupBy("id").count().where("count > 1 or id = 0").isEmpty():
             break
+        discard(spark, [vocabulary])
         seed += 1
     frequent = vocabulary.where(F.col("c") >= least)
     words = spark.sparkContext.broadcast(bit_table(frequent.select(F.col("id").alias("h")), filter_bits))
@@ -356,7 +351,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     out = stored(ranked.select("lang", "rank", "phrase", "b.a", "b.l", "b.r", "b.n", "b.score"), "collocations")
-    discard(spark, [counts, vocabulary, *levels])
+    discard(spark, [vocabulary, *levels])
     return out
 
 

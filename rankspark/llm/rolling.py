@@ -16,8 +16,16 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 CHUNK, MARGIN = 1 << 20, 4096
 #: Words of more bytes are hashed on their own.
 LONG = 256
-_SPACE = np.zeros(256, bool)
-_SPACE[list(b" \t\n\x0b\x0c\r")] = True
+
+
+def byte_set(own: bytes) -> np.ndarray:
+    """Whether each byte is one of ``own``."""
+    out = np.zeros(256, bool)
+    out[list(own)] = True
+    return out
+
+
+_SPACE = byte_set(b" \t\n\x0b\x0c\r")
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -62,19 +70,23 @@ def spans(symbols: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarra
 
 
 class Words:
-    """The words of several texts, end to end: where they lie in ``flat``, their hashes, and each text's first word."""
+    """The words of several texts, end to end: where they lie in ``flat``, their hashes, and each text's first word.
+
+    ``space``: the bytes that separate words, a line feed among them; ``names``: 256 bytes that the hashes see in place of the texts'.
+    """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], space: np.ndarray = _SPACE, names: bytes | None = None):
         self.flat = b"\n".join(texts)
         b = np.frombuffer(self.flat, np.uint8)
-        edge = np.diff(np.concatenate(([True], _SPACE[b], [True])).astype(np.int8))
+        edge = np.diff(np.concatenate(([True], space[b], [True])).astype(np.int8))
         self.start, self.stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         offset = np.cumsum([0, *(len(t) + 1 for t in texts)])
         self.first = np.searchsorted(self.start, offset)
         long = self.stop - self.start > LONG
-        self.hashes = spans(b, self.start, np.where(long, self.start, self.stop))
+        seen = self.flat if names is None else self.flat.translate(names)
+        self.hashes = spans(np.frombuffer(seen, np.uint8), self.start, np.where(long, self.start, self.stop))
         for i in np.flatnonzero(long):
-            self.hashes[i] = xxhash.xxh3_64_intdigest(self.flat[self.start[i]:self.stop[i]])
+            self.hashes[i] = xxhash.xxh3_64_intdigest(seen[self.start[i]:self.stop[i]])
 
     def joined(self, a: int, z: int) -> bytes:
         """Words ``a`` to ``z`` - 1, a space between them."""

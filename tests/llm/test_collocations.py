@@ -110,6 +110,30 @@ def test_small_buffers_and_full_filters(spark):
     assert got == brute(rows, 4)
 
 
+def test_words_of_one_id_are_counted_with_another_seed(spark):
+    class Alike(C.Words):
+        def __init__(self, texts, space, names=None):
+            super().__init__(texts, space, names)
+            if names is None:
+                self.hashes[:] = 7
+
+    def patched(run):
+        def wrapped(*args):
+            C.Words = Alike
+            return run(*args)
+        return wrapped
+
+    rows = [("a b c. a b d", "en"), ("a b", "fr")] * 4
+    frame = type(spark.range(1))
+    plain = frame.mapInPandas
+    try:
+        frame.mapInPandas = lambda self, f, schema: plain(self, patched(f), schema)
+        got = listed(C.collocations(table_of(spark, rows), least=4))
+    finally:
+        frame.mapInPandas = plain
+    assert got == brute(rows, 4) and got
+
+
 def test_sample_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = brute([(r.text, r.lang) for r in df.collect()], 30)
