@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import dbl
 from ..specs import GROUP_COL
-from .fitted import with_globals
+from .lookups import with_globals
+from .quantiles import exact_quantiles
 
 
 def rates(prefix_rows: str = "rows") -> list[Column]:
@@ -90,12 +91,17 @@ def numeric_drift_report(train: DataFrame, test: DataFrame, columns: list[str])
         ((F.col("te_null") - F.col("tr_null")) * 100).alias("missing_diff_pct"))
 
 
-def target_by_quantile(df: DataFrame, feature: str, q: int = 10, extra=()) -> DataFrame:
+def quantile_edges(df: DataFrame, features: list[str], q: int = 10) -> DataFrame:
+    """One row of the features' distinct edges, all found together."""
+    found = exact_quantiles(df, {f: F.col(f) for f in features}, {f: [i / q for i in range(q + 1)] for f in features})
+    return found.select(*[F.array_distinct(F.array_sort(f)).alias(f) for f in features])
+
+
+def target_by_quantile(df: DataFrame, feature: str, q: int = 10, extra=(), edges: DataFrame | None = None) -> DataFrame:
     """Label rates per quantile bucket (duplicate edges dropped, intervals
     (lo, hi], lowest included); rows with a missing feature are left out."""
     x = dbl(feature)
-    qs = [i / q for i in range(q + 1)]
-    edges = df.agg(F.array_distinct(F.array_sort(F.percentile(x, F.array(*[F.lit(v) for v in qs])))).alias("_e"))
+    edges = (quantile_edges(df, [feature], q) if edges is None else edges).select(F.col(feature).alias("_e"))
     total = df.agg(F.count(F.lit(1)).alias("_total"))
     j = df.filter(x.isNotNull()).transform(lambda _d: with_globals(_d, edges))
     b = F.greatest(F.lit(1), F.size(F.filter(F.col("_e"), lambda e: e < x)))

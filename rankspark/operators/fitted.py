@@ -22,6 +22,7 @@ from ..specs import (FREQUENCY_KEY_SPECS, ITEM_COL, MISSING_VALUE_FEATURE_COLS,
                      BUCKET_SOURCE_SPECS)
 from .keyed import keyed
 from .lookups import is_struct, lookup, with_globals  # noqa: F401  (is_struct: part of this module's interface)
+from .quantiles import exact_medians, exact_quantiles
 from .row_features import cleaned_missing
 
 
@@ -43,10 +44,10 @@ def add_prop_numeric_profiles(fit: DataFrame, apply: DataFrame) -> tuple[DataFra
     aggs, gaggs = [], []
     for c in src:
         aggs += [F.avg(dbl(c)).alias(f"prop_profile_{c}_mean"), F.median(dbl(c)).alias(f"prop_profile_{c}_median")]
-        gaggs += [finite_or_zero(F.avg(dbl(c))).alias(f"_g_{c}_mean"),
-                  finite_or_zero(F.median(dbl(c))).alias(f"_g_{c}_median")]
+        gaggs.append(finite_or_zero(F.avg(dbl(c))).alias(f"_g_{c}_mean"))
     table = both.groupBy(ITEM_COL).agg(*aggs, F.log1p(F.count(F.lit(1)).cast("double")).alias("prop_profile_log_count"))
-    glob = both.agg(*gaggs)
+    medians = exact_medians(both, {f"_g_{c}_median": F.col(c) for c in src})
+    glob = with_globals(both.agg(*gaggs), medians.select(*[finite_or_zero(F.col(c)).alias(c) for c in medians.columns]))
     names = [f"prop_profile_{c}_{s}" for c in src for s in ("mean", "median")] + ["prop_profile_log_count"]
     # statistics that are null inside the table take the global value
     table = with_globals(table, glob).select(
@@ -75,12 +76,8 @@ def add_prop_numeric_profiles(fit: DataFrame, apply: DataFrame) -> tuple[DataFra
 def bucket_edges(fit: DataFrame, specs=BUCKET_SOURCE_SPECS) -> DataFrame:
     """A2: one-row frame with, for each spec, the sorted distinct interior quantile
     edges (exact, linear interpolation); [] when the column has no values."""
-    def edges(col: str, n_bins: int) -> Column:
-        qs = [i / n_bins for i in range(1, n_bins)]
-        pct = F.percentile(dbl(col), F.array(*[F.lit(q) for q in qs]))
-        return F.coalesce(F.array_distinct(F.array_sort(pct)), F.array().cast("array<double>"))
-
-    return fit.agg(*[edges(c, n).alias(f"_edges_{b}") for c, b, n in specs])
+    found = exact_quantiles(fit, {b: F.col(c) for c, b, _ in specs}, {b: [i / n for i in range(1, n)] for _, b, n in specs})
+    return found.select(*[F.array_distinct(F.array_sort(b)).alias(f"_edges_{b}") for _, b, _ in specs])
 
 
 def apply_buckets(df: DataFrame, specs, edges: DataFrame) -> DataFrame:
@@ -114,10 +111,10 @@ def add_missing_value_features(fit: DataFrame, applies: list[DataFrame],
     gaggs = []
     for c in cols:
         x = cleaned_missing(c)
-        gaggs += [finite_or_zero(F.median(x)).alias(f"_gmed_{c}"),
-                  (finite_or_zero(F.min(x)) - F.greatest(F.lit(1.0), finite_or_zero(F.stddev_samp(x))))
+        gaggs += [(finite_or_zero(F.min(x)) - F.greatest(F.lit(1.0), finite_or_zero(F.stddev_samp(x))))
                   .alias(f"_sent_{c}")]
-    glob = fit.agg(*gaggs)
+    medians = exact_medians(fit, {f"_gmed_{c}": cleaned_missing(c) for c in cols})
+    glob = with_globals(fit.agg(*gaggs), medians.select(*[finite_or_zero(F.col(c)).alias(c) for c in medians.columns]))
     has_seg = segment in fit.columns
     seg = None
     if has_seg:

@@ -13,7 +13,8 @@ from .catalog import register, round_doubles, test, train
 from .oracle import with_base
 from .queries_rows import RAW_COLS
 from .queries_within import RELATIVE_COLS, relative_sql
-from ..operators.fitted import with_globals
+from ..operators.lookups import with_globals
+from ..operators.quantiles import exact_quantiles
 
 COMMON = [c for c in RAW_COLS if c not in TRAIN_ONLY_RAW]
 CORE_NUMERIC = ["price_usd", "prop_starrating", "prop_review_score", "prop_location_score1", "prop_location_score2",
@@ -314,10 +315,9 @@ def _d19_sql():
 def d19_numeric_summary(spark, sf):
     out = None
     for split, df in (("train", train(spark, sf)), ("test", test(spark, sf))):
-        one = df.agg(*[e for c in CORE_NUMERIC for e in (
-            F.percentile(dbl(c), F.array(*[F.lit(q) for q in _QS])).alias(f"p_{c}"), F.avg(dbl(c)).alias(f"m_{c}"),
-            (F.avg(F.col(c).isNull().cast("double")) * 100).alias(f"n_{c}"))])
-        flat = one.select(*[F.col(f"p_{c}")[i].alias(f"q{int(q * 100):02d}_{c}") for c in CORE_NUMERIC for i, q in enumerate(_QS)],
+        one = df.agg(*[e for c in CORE_NUMERIC for e in (F.avg(dbl(c)).alias(f"m_{c}"), (F.avg(F.col(c).isNull().cast("double")) * 100).alias(f"n_{c}"))])
+        one = with_globals(one, exact_quantiles(df, {f"p_{c}": F.col(c) for c in CORE_NUMERIC}, {f"p_{c}": _QS for c in CORE_NUMERIC}))
+        flat = one.select(*[F.get(f"p_{c}", F.lit(i)).alias(f"q{int(q * 100):02d}_{c}") for c in CORE_NUMERIC for i, q in enumerate(_QS)],
                           *[F.col(f"m_{c}") for c in CORE_NUMERIC], *[F.col(f"n_{c}") for c in CORE_NUMERIC])
         spec = {f"q{int(q * 100):02d}": f"q{int(q * 100):02d}_{{}}" for q in _QS}
         spec.update({"mean": "m_{}", "missing_pct": "n_{}"})
@@ -449,9 +449,9 @@ def d26_target_by_quantile(spark, sf):
     t = ws.relative_diagnostics(train(spark, sf), RELATIVE_COLS)
     t = materialize(t.select("click_bool", "booking_bool", "relevance",
                              *[F.round(F.col(f).try_cast("decimal(38,12)"), 9).cast("double").alias(f) for f in _D26_FEATS]), "relative")
-    out = None
+    out, edges = None, eda.quantile_edges(t, _D26_FEATS)
     for f in _D26_FEATS:
-        part = eda.target_by_quantile(t, f)
+        part = eda.target_by_quantile(t, f, edges=edges)
         out = part if out is None else out.unionByName(part)
     return round_doubles(out)
 

@@ -127,3 +127,20 @@ def test_together_keeps_order_and_raises(spark):
     assert together(spark, [lambda i=i: spark.range(i).count() for i in range(5)], 3) == [0, 1, 2, 3, 4]
     with pytest.raises(ZeroDivisionError):
         together(spark, [lambda: 1 // 0], 2)
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    from rankspark.operators.quantiles import exact_medians, exact_quantiles
+
+    rng = random.Random(9)
+    rows = [(rng.gauss(0, 1), rng.randint(0, 3), None if i % 3 else rng.random(), None) for i in range(1501)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double")
+    qs = [0.0, 0.001, 0.25, 1 / 3, 0.5, 0.999, 1.0]
+    got = exact_quantiles(df, {c: F.col(c) for c in "abcd"}, {c: qs for c in "abcd"}).first()
+    want = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs])).alias(c) for c in "abc"]).first()
+    for c in "abc":
+        assert all(math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-12) for x, y in zip(got[c], want[c], strict=True))
+    assert got.d == []
+    med = exact_medians(df, {"m": F.col("a") * 2, "none": F.col("d")}).first()
+    assert math.isclose(med.m, 2 * want.a[4]) and med.none is None
+    assert exact_medians(df.limit(0), {"m": F.col("a")}).first().m is None
