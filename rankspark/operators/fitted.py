@@ -21,7 +21,7 @@ from ..specs import (FREQUENCY_KEY_SPECS, ITEM_COL, MISSING_VALUE_FEATURE_COLS,
                      SEGMENT_PROFILE_SPECS, ZERO_AS_MISSING_COLS, AFFINITY_KEY_SPECS,
                      BUCKET_SOURCE_SPECS)
 from .keyed import keyed
-from .lookups import is_struct, lookup, with_globals  # noqa: F401  (is_struct: part of this module's interface)
+from .lookups import is_struct, lookup, picked, with_globals  # noqa: F401  (is_struct: part of this module's interface)
 from .quantiles import exact_medians, exact_quantiles
 from .row_features import cleaned_missing
 
@@ -164,12 +164,10 @@ def add_segment_profiles(fit: DataFrame, applies: list[DataFrame], specs=SEGMENT
         new = []
         for key, alias in own:
             for c in src if key in df.columns else ():
-                mean = F.coalesce(F.col(f"_{alias}_sm_{c}"), F.col(f"_gm_{c}"))
-                std = F.coalesce(F.col(f"_{alias}_ss_{c}"), F.col(f"_gs_{c}"))
-                diff = dbl(c) - mean
-                new += [diff.alias(f"{alias}_{c}_segment_mean_diff"),
-                        safe_divide(diff, F.when(std != 0, std)).alias(f"{alias}_{c}_segment_zscore")]
-        out.append(j.select(*df.columns, *new))
+                diff = f"(CAST(`{c}` AS DOUBLE) - coalesce(`_{alias}_sm_{c}`, `_gm_{c}`))"
+                std = f"nullif(coalesce(`_{alias}_ss_{c}`, `_gs_{c}`), 0D)"
+                new += [f"{diff} AS `{alias}_{c}_segment_mean_diff`", f"coalesce(try_divide({diff}, {std}), 0D) AS `{alias}_{c}_segment_zscore`"]
+        out.append(picked(j, df.columns, new))
     return out
 
 
@@ -177,8 +175,7 @@ def add_segment_profiles(fit: DataFrame, applies: list[DataFrame], specs=SEGMENT
 def add_frequency_features(fit: DataFrame, applies: list[DataFrame], specs=FREQUENCY_KEY_SPECS) -> list[DataFrame]:
     """A5: log1p(count of the key in fit), unseen -> 0."""
     own = [s for s in specs if s[0] in fit.columns]
-    return [j.select(*df.columns, *[F.log1p(F.coalesce(F.col(f"_{alias}_n"), F.lit(0)).cast("double")).alias(f"{alias}_log_frequency")
-                                    for key, alias in own if key in df.columns])
+    return [picked(j, df.columns, [f"log1p(CAST(coalesce(`_{alias}_n`, 0) AS DOUBLE)) AS `{alias}_log_frequency`" for key, alias in own if key in df.columns])
             for df, j in zip(applies, keyed(fit, applies, own, [], _counted, ["n"]))]
 
 
@@ -206,10 +203,10 @@ def add_affinity_features(fit: DataFrame, applies: list[DataFrame], specs=AFFINI
         for alias, left, right in own:
             if not {left, right} <= set(df.columns):
                 continue
-            c, lc, rc = (F.coalesce(F.col(f"_{n}_n"), F.lit(0)).cast("double") for n in (f"pair_{alias}", f"one_{left}", f"one_{right}"))
-            new += [F.log1p(c).alias(f"{alias}_log_count"), safe_divide(c, lc).alias(f"{alias}_left_share"),
-                    safe_divide(c, rc).alias(f"{alias}_right_share"),
-                    safe_divide(c + 1.0, lc * rc / F.col("_n_fit") + 1.0).alias(f"{alias}_lift")]
-        out.append(j.select(*df.columns, *new))
+            c, lc, rc = (f"CAST(coalesce(`_{n}_n`, 0) AS DOUBLE)" for n in (f"pair_{alias}", f"one_{left}", f"one_{right}"))
+            new += [f"log1p({c}) AS `{alias}_log_count`", f"coalesce(try_divide({c}, {lc}), 0D) AS `{alias}_left_share`",
+                    f"coalesce(try_divide({c}, {rc}), 0D) AS `{alias}_right_share`",
+                    f"coalesce(try_divide({c} + 1D, {lc} * {rc} / _n_fit + 1D), 0D) AS `{alias}_lift`"]
+        out.append(picked(j, df.columns, new))
     return out
 

@@ -35,4 +35,9 @@ def with_globals(df: DataFrame, one_row: DataFrame) -> DataFrame:
     once; its fields are inlined as values into the row expressions.  No join
     is planned."""
     g = one_row.select(F.struct(*one_row.columns).alias("_g")).scalar()
-    return df.withColumn("_globals", g).select(*df.columns, *[F.col("_globals")[c].alias(c) for c in one_row.columns])
+    return df.withColumn("_globals", g).selectExpr(*[f"`{c}`" for c in df.columns], *[f"_globals.`{c}` AS `{c}`" for c in one_row.columns])
+
+
+def picked(df: DataFrame, keep: list[str], new: list[str]) -> DataFrame:
+    """The columns ``keep`` and the expressions ``new``, which are text: hundreds of column objects would take longer to make than their jobs to run."""
+    return df.selectExpr(*[f"`{c}`" for c in keep], *new)
