@@ -13,6 +13,8 @@ from ..operators import models as md
 from ..sources import sinks
 from ..sources.tables import convert_csv_to_parquet, load_dataset, sample_by_groups, search_log
 from .catalog import labeled, register, round_doubles, test, train
+from ..session import materialize
+from .features import with_common
 from .oracle import with_base
 from .workflows import WorkflowConfig, add_aux_position_feature, build_features, fit_predict, run_oof_experiment, \
     run_validation, run_final, run_multi_split_validation
@@ -196,9 +198,10 @@ def m7_m9_oof_workflow(spark, sf):
 @register("m10_v7_holdout_validation")
 def m10_v7_holdout_validation(spark, sf):
     """All three strategies, then the refit with the primary one's best iteration; the rows of its submission join the metrics."""
-    out, best = run_multi_split_validation(train(spark, sf), QUICK)
+    tr = materialize(with_common(train(spark, sf)), "train")
+    out, best = run_multi_split_validation(tr, QUICK)
     path = sinks.output_dir(spark, "final")
-    scored = run_final(train(spark, sf), test(spark, sf), QUICK, best, path)
+    scored = run_final(tr, test(spark, sf), QUICK, best, path)
     n = scored.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
         F.lit("final").alias("split_strategy"), F.lit(False).alias("is_primary"), F.lit("test_rows").alias("metric"), "value")
     return out.unionByName(n)
