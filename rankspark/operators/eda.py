@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expr import dbl
 from ..specs import GROUP_COL
@@ -34,6 +35,29 @@ def null_pct(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
     return df.agg(*[(F.avg(F.col(c).isNull().cast("double")) * 100.0).alias(f"{prefix}{c}") for c in cols])
 
 
+def distinct_counts(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``column_name`` and how many values it has, nulls apart.
+
+    The columns are unpivoted to narrow (column, value) pairs, which are made distinct before and after one shuffle: a
+    ``countDistinct`` of each would send every row once a column, in the width of all of them.
+    """
+    kinds, spark = {f.name: f.dataType for f in df.schema.fields}, df.sparkSession
+
+    def pair(i: int, c: str) -> Column:
+        own = F.col(c)
+        whole = own.cast("long") if isinstance(kinds[c], T.IntegralType) else F.unix_micros(own) if isinstance(kinds[c], T.TimestampType) else None
+        real = own.cast("double") if isinstance(kinds[c], T.FractionalType) and not isinstance(kinds[c], T.DecimalType) else None
+        text = own.cast("string") if whole is None and real is None else None
+        parts = (("w", whole, "long"), ("d", real, "double"), ("t", text, "string"))
+        return F.struct(F.lit(i).alias("k"), *[(F.lit(None) if x is None else x).cast(kind).alias(at) for at, x, kind in parts])
+
+    pairs = F.array(*[pair(i, c) for i, c in enumerate(columns)])
+    values = df.select(F.inline(pairs)).where("w IS NOT NULL OR d IS NOT NULL OR t IS NOT NULL").distinct()
+    counts = values.groupBy("k").agg(F.count(F.lit(1)).alias("_n"))
+    names = spark.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("k", "column_name"))
+    return names.join(counts, "k", "left").select("column_name", F.coalesce("_n", F.lit(0).cast("long")).alias(name))
+
+
 def missingness_report(train: DataFrame, test: DataFrame, columns: list[str], top_n: int = 80) -> DataFrame:
     """Null % in each split, absolute difference, top n."""
     a = unpivot(null_pct(train, columns, "tr_"), columns, {"train_missing_pct": "tr_{}"})

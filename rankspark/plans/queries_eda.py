@@ -292,8 +292,8 @@ def d17_u3_id_coverage(spark, sf):
     f"SELECT '{c}' AS column_name, (SELECT count(DISTINCT {c}) FROM train) AS train_unique, (SELECT count(DISTINCT {c}) FROM test) AS test_unique"
     for c in COMMON)))
 def d18_cardinality(spark, sf):
-    a = eda.unpivot(train(spark, sf).agg(*[F.countDistinct(c).alias(f"a_{c}") for c in COMMON]), COMMON, {"train_unique": "a_{}"})
-    b = eda.unpivot(test(spark, sf).agg(*[F.countDistinct(c).alias(f"b_{c}") for c in COMMON]), COMMON, {"test_unique": "b_{}"})
+    a = eda.distinct_counts(train(spark, sf), COMMON, "train_unique")
+    b = eda.distinct_counts(test(spark, sf), COMMON, "test_unique")
     return a.join(b, "column_name")
 
 

@@ -145,3 +145,15 @@ def test_position_source_fallback(spark):
     assert rf.position_fit_source(df).count() == 2  # no random_bool = 0 rows with a position: all rows (Q3)
     df2 = spark.createDataFrame([(1, 1), (2, 0)], "position int, random_bool int")
     assert [r.position for r in rf.position_fit_source(df2).collect()] == [2]
+
+
+def test_distinct_counts_of_all_kinds_without_an_expand(spark):
+    from rankspark.operators import eda
+
+    day = dt.datetime(2026, 1, 1)
+    rows = [(1, 0.0, "a", day, None), (1, -0.0, "b", day, None), (2, float("nan"), "a", day + dt.timedelta(microseconds=1), None), (None, float("nan"), None, None, None)]
+    df = spark.createDataFrame(rows, "w long, d double, t string, at timestamp, none int")
+    out = eda.distinct_counts(df, df.columns, "n")
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    want = df.agg(*[F.countDistinct(c).alias(c) for c in df.columns]).first().asDict()
+    assert {r.column_name: r.n for r in out.collect()} == want == {"w": 2, "d": 2, "t": 2, "at": 2, "none": 0}
