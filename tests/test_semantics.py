@@ -157,3 +157,12 @@ def test_distinct_counts_of_all_kinds_without_an_expand(spark):
     assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
     want = df.agg(*[F.countDistinct(c).alias(c) for c in df.columns]).first().asDict()
     assert {r.column_name: r.n for r in out.collect()} == want == {"w": 2, "d": 2, "t": 2, "at": 2, "none": 0}
+
+
+def test_within_search_features_are_dealt_once(spark):
+    rows = [(1, 1, 3.0, "a", None), (1, 2, 1.0, None, 2.0), (2, 3, None, "c", 4.0), (None, 4, 5.0, "d", 1.0)]
+    df = spark.createDataFrame(rows, "srch_id long, row_id long, x double, note string, y double")
+    out = ws.add_within_search_features(df, ["x", "y"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {r.row_id: (r.srch_id, r.note, r.y, r.x_srch_max_diff, r.y_srch_rank_asc) for r in out.collect()}
+    assert got == {1: (1, "a", None, 0.0, None), 2: (1, None, 2.0, -2.0, 1.0), 3: (2, "c", 4.0, None, 1.0), 4: (None, "d", 1.0, 0.0, 1.0)}
