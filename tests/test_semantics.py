@@ -166,3 +166,13 @@ def test_within_search_features_are_dealt_once(spark):
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     got = {r.row_id: (r.srch_id, r.note, r.y, r.x_srch_max_diff, r.y_srch_rank_asc) for r in out.collect()}
     assert got == {1: (1, "a", None, 0.0, None), 2: (1, None, 2.0, -2.0, 1.0), 3: (2, "c", 4.0, None, 1.0), 4: (None, "d", 1.0, 0.0, 1.0)}
+
+
+def test_grid_tasks_go_by_rows_times_points(spark, monkeypatch):
+    df = spark.range(400).selectExpr("id div 4 as srch_id", "id as row_id", "cast(id % 3 = 0 as int) as relevance", "id * 7 % 11 as a", "id * 5 % 13 as b")
+    want = [tuple(r) for r in blend.grid_ndcg(df, ["a", "b"], 0.25).orderBy("wid").collect()]
+    monkeypatch.setattr(blend, "GRID_ROWS", 100)
+    out = blend.grid_ndcg(df, ["a", "b"], 0.25)
+    assert "hashpartitioning(srch_id" in out._jdf.queryExecution().executedPlan().toString() and ", 20), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r) for r in out.orderBy("wid").collect()]
+    assert [(g[:-1], round(g[-1], 9)) for g in got] == [(w[:-1], round(w[-1], 9)) for w in want]
