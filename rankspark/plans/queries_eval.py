@@ -9,6 +9,7 @@ from .catalog import labeled, register, round_doubles
 from .oracle import ndcg_ctes, with_base
 from .queries_fitted import _FOLD_CTE
 from ..operators.fitted import with_globals
+from ..session import materialize
 
 
 def _u(seed: int):
@@ -169,14 +170,15 @@ def e9_two_stage_grid(spark, sf):
 
 # ---- out-of-fold popularity scores (E12, E13) -------------------------------------
 def _oof_popularity(spark, sf):
-    log = labeled(spark, sf)
+    # stored: every fold's table and rows are made of it
+    log = materialize(labeled(spark, sf).select("srch_id", "row_id", "prop_id", "relevance"), "log")
     folds = fo.group_folds(log, 5, 2026)
-    lf = fo.attach_folds(log, folds)
+    lf = materialize(fo.attach_folds(log, folds), "folds")
     parts = []
     for f in range(5):
         fit, hold = lf.filter(F.col("fold") != f), lf.filter(F.col("fold") == f)
-        parts.append(metrics.popularity_score(fit, hold, "prop_id", alpha=100.0, name="oof_pop_score")
-                     .select("srch_id", "row_id", "fold", "relevance", "oof_pop_score"))
+        parts.append(materialize(metrics.popularity_score(fit, hold, "prop_id", alpha=100.0, name="oof_pop_score")
+                                 .select("srch_id", "row_id", "fold", "relevance", "oof_pop_score"), "oof"))
     return blend.assemble_oof(parts, log.count(), ["oof_pop_score"])
 
 

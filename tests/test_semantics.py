@@ -176,3 +176,10 @@ def test_grid_tasks_go_by_rows_times_points(spark, monkeypatch):
     assert "hashpartitioning(srch_id" in out._jdf.queryExecution().executedPlan().toString() and ", 20), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
     got = [tuple(r) for r in out.orderBy("wid").collect()]
     assert [(g[:-1], round(g[-1], 9)) for g in got] == [(w[:-1], round(w[-1], 9)) for w in want]
+
+
+def test_oof_popularity_reads_the_tables_once(spark):
+    from __spark_entry__ import queries
+
+    plan = queries()["e13_fold_metric_table"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan  # what follows reads stored scores
