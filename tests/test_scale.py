@@ -1,4 +1,5 @@
 """What the shared steps shuffle and how many tasks they take."""
+from rankspark.operators import fitted, keyed
 from rankspark.session import JIT_LIMIT
 from rankspark.sources import tables
 
@@ -23,3 +24,14 @@ def test_many_lines_make_more_tasks_and_the_same_rows(spark, monkeypatch):
 def test_wide_projections_are_compiled(spark):
     tables.search_log(spark, SF)
     assert spark.conf.get(JIT_LIMIT[0]) == JIT_LIMIT[1]
+
+
+def test_keys_of_few_and_of_many_values_meet_the_same_tables(spark, monkeypatch):
+    log = tables.search_log(spark, SF).select("row_id", "srch_id", "prop_id", "site_id", "srch_destination_id")
+    specs = (("prop_id", "prop"), ("site_id", "site"), ("srch_destination_id", "dest"))
+    got = []
+    for most in (0, 50, 10 ** 6):
+        monkeypatch.setattr(keyed, "LOCAL_VALUES", most)
+        out = fitted.add_frequency_features(log, [log], specs)[0]
+        got.append(sorted(out.select("row_id", *[f"{a}_log_frequency" for _, a in specs]).collect()))
+    assert len(got[0]) == log.count() and got[0] == got[1] == got[2]
