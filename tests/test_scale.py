@@ -1,6 +1,8 @@
 """What the shared steps shuffle and how many tasks they take."""
-from rankspark.operators import fitted, keyed
-from rankspark.session import JIT_LIMIT
+from rankspark.operators import fitted, folds, keyed, lookups
+from rankspark.operators.labels import add_relevance
+from rankspark.plans import features, workflows
+from rankspark.session import JIT_LIMIT, cut_lineage
 from rankspark.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -35,3 +37,31 @@ def test_keys_of_few_and_of_many_values_meet_the_same_tables(spark, monkeypatch)
         out = fitted.add_frequency_features(log, [log], specs)[0]
         got.append(sorted(out.select("row_id", *[f"{a}_log_frequency" for _, a in specs]).collect()))
     assert len(got[0]) == log.count() and got[0] == got[1] == got[2]
+
+
+def test_packed_rows_come_back_as_they_were(spark):
+    log = tables.search_log(spark, SF)
+    block, unpacked = lookups.packed(log, ["srch_id", "row_id", "prop_id", "click_bool"])
+    assert "_packed" in block.columns and "price_usd" not in block.columns and "prop_id" in block.columns
+    back = unpacked(block)
+    assert {f.name: f.dataType for f in back.schema} == {f.name: f.dataType for f in log.schema}
+    assert back.select(log.columns).exceptAll(log).isEmpty() and back.count() == log.count()
+
+
+def test_light_features_store_the_wide_rows_once(spark, monkeypatch):
+    kept = []
+    real = workflows.materialize
+    monkeypatch.setattr(workflows, "materialize", lambda df, label: kept.append(len(df.columns)) or real(df, label))
+    monkeypatch.setattr(workflows, "cut_lineage", lambda df: kept.append(len(df.columns)) or cut_lineage(df))
+    log = tables.search_log(spark, SF).transform(add_relevance)
+    fit, apply, feats, _ = workflows.build_light_features(log.where("srch_id % 5 <> 0"), log.where("srch_id % 5 = 0"), 2026, 2, 40.0)
+    assert sum(n > 100 for n in kept) == 2 and len(feats) > 300
+    assert fit.select("prop_log_frequency", "price_usd_srch_zscore").where("prop_log_frequency is null").isEmpty()
+
+
+def test_time_split_after_the_common_features_goes_by_time(spark):
+    log = tables.search_log(spark, SF).transform(add_relevance)
+    common = features.common_with_time(log)
+    assert "date_time" in common.columns and "date_time" not in features.select_feature_columns(common, common)
+    want, got = (folds.split_groups(d, "time", 0.2, 2026).where("is_valid") for d in (log, common))
+    assert sorted(got.collect()) == sorted(want.collect())
