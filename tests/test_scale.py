@@ -2,6 +2,7 @@
 from rankspark.operators import fitted, folds, keyed, lookups
 from rankspark.operators.labels import add_relevance
 from rankspark.plans import features, workflows
+from rankspark.plans.catalog import QUERIES
 from rankspark.session import JIT_LIMIT, cut_lineage
 from rankspark.sources import tables
 
@@ -65,3 +66,13 @@ def test_time_split_after_the_common_features_goes_by_time(spark):
     assert "date_time" in common.columns and "date_time" not in features.select_feature_columns(common, common)
     want, got = (folds.split_groups(d, "time", 0.2, 2026).where("is_valid") for d in (log, common))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_relevance_counts_read_the_log_once(spark):
+    plan = QUERIES["d5_relevance_counts"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 6 and "scalar-subquery" not in plan
+
+
+def test_segments_read_stored_columns(spark):
+    plan = QUERIES["e4_segment_ndcg"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "l_returnflag" not in plan
