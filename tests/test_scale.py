@@ -24,6 +24,16 @@ def test_many_lines_make_more_tasks_and_the_same_rows(spark, monkeypatch):
     assert log.rdd.getNumPartitions() == -(-len(want) // 200)
 
 
+def test_lines_of_a_task_are_bounded_with_many_shuffle_partitions(spark, monkeypatch):
+    monkeypatch.setattr(tables, "TASK_ROWS", 200)
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        log = tables.search_log(spark, SF).select("row_id", "position")
+        assert log.rdd.getNumPartitions() >= -(-log.count() // 200)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_wide_projections_are_compiled(spark):
     tables.search_log(spark, SF)
     assert spark.conf.get(JIT_LIMIT[0]) == JIT_LIMIT[1]
