@@ -1,4 +1,7 @@
 """What the shared steps shuffle and how many tasks they take."""
+from pyspark.sql import functions as F
+
+from rankspark.functions.expr import r6
 from rankspark.operators import fitted, folds, keyed, lookups
 from rankspark.operators.labels import add_relevance
 from rankspark.plans import features, workflows
@@ -86,3 +89,24 @@ def test_relevance_counts_read_the_log_once(spark):
 def test_segments_read_stored_columns(spark):
     plan = QUERIES["e4_segment_ndcg"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan and "l_returnflag" not in plan
+
+
+def test_keys_of_few_values_are_joined_once_beside_keys_of_many(spark, monkeypatch, capsys):
+    log = cut_lineage(tables.search_log(spark, SF).select("row_id", "prop_id", F.col("prop_id").alias("item"), "site_id", "prop_country_id", "srch_destination_id"))
+    specs = (("prop_id", "prop"), ("item", "item"), ("site_id", "site"), ("prop_country_id", "country"), ("srch_destination_id", "dest"))
+    monkeypatch.setattr(keyed, "LOCAL_VALUES", 40)  # all but the items
+    monkeypatch.setattr(fitted, "keyed", lambda *a: got.extend(keyed.keyed(*a)) or got)
+    got = []
+    fitted.add_frequency_features(log, [log], specs)
+    got[0].explain("extended")
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimized.count("strategy=broadcast") == 3
+
+
+def test_rounding_as_doubles_is_that_of_decimals(spark):
+    values = [0.0, -0.0, 0.5, 1 / 3, -2 / 3, 1e-7, 5e-7, 15e-7, 25e-7, -15e-7, 0.1234565, 0.12345649999, 0.12345650001, 123456.7890125, 999999.9999995, 1e6, -123456789.123456789, 1e15, 1e29,
+              float("inf"), float("nan"), None, *[(i * 7919 % 10007) / 997 * (-1) ** i for i in range(500)]]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    decimal = F.round(F.col("x").try_cast("decimal(38,10)"), 6).cast("double")
+    assert df.where(~r6(F.col("x")).eqNullSafe(decimal)).count() == 0
+    assert all(str(v) != "-0.0" for (v,) in df.select(r6(F.col("x"))).collect())
