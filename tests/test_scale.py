@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from rankspark.functions.expr import r6
-from rankspark.operators import fitted, folds, keyed, lookups
+from rankspark.operators import encodings, fitted, folds, keyed, lookups
 from rankspark.operators.labels import add_relevance
 from rankspark.plans import features, workflows
 from rankspark.plans.catalog import QUERIES
@@ -110,3 +110,28 @@ def test_rounding_as_doubles_is_that_of_decimals(spark):
     decimal = F.round(F.col("x").try_cast("decimal(38,10)"), 6).cast("double")
     assert df.where(~r6(F.col("x")).eqNullSafe(decimal)).count() == 0
     assert all(str(v) != "-0.0" for (v,) in df.select(r6(F.col("x"))).collect())
+
+
+def test_position_tables_of_many_keys_hold_no_values_in_aggregates(spark, monkeypatch, capsys):
+    log = cut_lineage(tables.search_log(spark, SF).select("row_id", "srch_id", "prop_id", "site_id", "position", "random_bool"))
+    specs = (("prop_id", "prop"), ("site_id", "site"))
+    own = folds.group_folds(log, 3, 1)
+    monkeypatch.setattr(keyed, "LOCAL_VALUES", 0)
+    for out in (encodings.add_oof_position_aggregates(log, own, specs), encodings.add_fit_position_aggregates(log, [log], specs)[0]):
+        out.explain("extended")
+        optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+        assert "Aggregate [_k#" in optimized
+        assert not [x for x in optimized.splitlines() if "Aggregate [_k#" in x and ("percentile(" in x or "median(" in x)]
+
+
+def test_position_statistics_of_counts_are_those_of_rows(spark):
+    rows = [(k, p, f) for k, p, f in zip("aaaaabbbbcddd", [1, 9, 4, 4, 0, 2, 3, 7, 7, 5, 6, 6, 8], [0, 1, 2, 0, 1, 0, 0, 0, 0, 1, 2, 2, 0])]
+    df = spark.createDataFrame(rows, "key string, position int, fold int")
+    counts = df.groupBy("key", "position").agg(F.count("*").alias("_a"), F.count(F.when(F.col("fold") != 0, 1)).alias("_b"))
+    got = {r["key"]: r for r in encodings._counted_stats(counts, ["key"], ["_a", "_b"]).collect()}
+    for c, own in (("_a", df), ("_b", df.where("fold <> 0"))):
+        want = {r["key"]: r for r in own.groupBy("key").agg(*encodings._pos_aggs("x")).collect()}
+        for key in "abcd":
+            for n in encodings.position_feature_names(""):
+                a, b = got[key][f"{c}{n}"], want[key][f"x{n}"] if key in want else None
+                assert (a is None and b is None) or abs(a - b) < 1e-12
