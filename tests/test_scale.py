@@ -135,3 +135,12 @@ def test_position_statistics_of_counts_are_those_of_rows(spark):
             for n in encodings.position_feature_names(""):
                 a, b = got[key][f"{c}{n}"], want[key][f"x{n}"] if key in want else None
                 assert (a is None and b is None) or abs(a - b) < 1e-12
+
+
+def test_rows_read_from_files_are_numbered_in_bounded_tasks(spark, monkeypatch, tmp_path):
+    log = tables.search_log(spark, SF).select("srch_id", "prop_id", "position", "price_usd")
+    log.write.parquet(str(tmp_path / "log"))
+    want = sorted(tables.load_dataset(spark, str(tmp_path / "log")).collect())
+    monkeypatch.setattr(tables, "TASK_ROWS", 200)
+    dealt = tables.load_dataset(spark, str(tmp_path / "log"))
+    assert dealt.rdd.getNumPartitions() == -(-len(want) // 200) and sorted(dealt.collect()) == want
