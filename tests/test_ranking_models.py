@@ -144,3 +144,17 @@ def test_exact_quantiles_equal_percentile(spark):
     med = exact_medians(df, {"m": F.col("a") * 2, "none": F.col("d")}).first()
     assert math.isclose(med.m, 2 * want.a[4]) and med.none is None
     assert exact_medians(df.limit(0), {"m": F.col("a")}).first().m is None
+
+
+def test_raw_id_models_read_ids_that_are_stored_once(spark, monkeypatch):
+    from rankspark.plans import queries_misc
+
+    seen = []
+    monkeypatch.setattr(queries_misc, "fit_predict", lambda names, fit, valid, apply, feats, cfg: seen.extend([fit, apply]) or apply.selectExpr(
+        "srch_id", "row_id", "0D AS raw_id_booking_score", "0D AS raw_id_ranker_score"))
+    out = queries_misc.m5_m6_raw_id_models(spark, "/root/testdata/sf0.001")
+    log = queries_misc.labeled(spark, "/root/testdata/sf0.001")
+    assert out.count() == seen[1].count() and seen[0].count() + seen[1].count() == log.count()
+    for df in seen:
+        assert not [f for f in df.inputFiles() if "/testdata/" in f]
+    assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
