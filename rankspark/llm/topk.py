@@ -18,8 +18,9 @@ the others are no candidates, so a vector that very many rows share costs no
 more than one that few do.  All of them are queries where their id says so.
 
 Queries are the stated set of rows whose id is divisible by ``every``; they
-meet the shards in blocks of ``pack`` queries.  What is sent to a shard's
-tasks is such blocks, never all queries.
+meet the shards in blocks of ``pack`` queries.  A task reads its shards and the
+stored blocks itself, so that pairs of the two are neither shuffled nor sent
+through the driver.
 
 Vectors that are null or hold a null, NaN or infinite component take no part,
 nor do rows without an id.  Shorter vectors count as padded with zeros.
@@ -36,9 +37,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankspark.llm.common import stored
+from rankspark.llm.common import batches_of, stored
 
 PACK = "shard int, block int, ids binary, mat binary, dims int"
+#: Pairs of a shard's and a block's matrices in a worker's batch.
+PAIRS = 32
 
 
 def quantised(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
@@ -80,13 +83,12 @@ def _packs(df: DataFrame, rows: int, nodes: int, dims: int, n: int) -> DataFrame
     return packs
 
 
-def _numbered(packs: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Packs stored, with consecutive shard numbers; their number."""
+def _numbered(packs: DataFrame, label: str) -> DataFrame:
+    """Packs stored, with consecutive shard numbers."""
     held = stored(packs, label)
     # one narrow row for each pack of thousands of vectors
     order = held.where("block = 0").select("at").rdd.map(lambda r: r[0]).sortBy(lambda x: x).zipWithIndex().toDF("at long, shard int")
-    out = stored(held.drop("shard").join(order, "at").select("shard", "block", "ids", "mat", "dims"), label)
-    return out, out.where("block = 0").count()
+    return stored(held.drop("shard").join(order, "at").select("shard", "block", "ids", "mat", "dims"), label)
 
 
 def _product(v: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -151,14 +153,16 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
     asked = rows.where(F.col("vec_id") % every == 0)
     alike = Window.partitionBy("vec").orderBy("vec_id")
     vecs = stored(rows.withColumn("rn", F.row_number().over(alike)).where(F.col("rn") <= k + 1).drop("rn"), "vectors")
-    shards, n_shards = _numbered(_packs(vecs, shard_rows, nodes, dims, n), "shards")
-    asks, _ = _numbered(_packs(asked, pack, nodes, dims, n), "asks")
-    spread = F.explode(F.sequence(F.lit(0), F.lit(max(n_shards - 1, 0)))).alias("shard")
+    shards = _numbered(_packs(vecs, shard_rows, nodes, dims, n), "shards")
+    asks = _numbered(_packs(asked, pack, nodes, dims, n), "asks")
 
     def meet(queries: DataFrame, extra: list[str]) -> DataFrame:
-        return shards.join(queries.select("block", F.col("ids").alias("qids"), F.col("mat").alias("qmat"), *extra, spread), ["shard", "block"])
+        """Every shard with every block of queries of its components.  The blocks are small as Parquet, so without the hint
+        all pairs would be planned as a broadcast, which the driver holds."""
+        return shards.join(queries.select("block", F.col("ids").alias("qids"), F.col("mat").alias("qmat"), *extra).hint("shuffle_replicate_nl"), "block")
 
-    local = stored(meet(asks, []).mapInPandas(_first(k), "query_id long, block int, vec_id long, part long"), "first")
+    with batches_of(spark, PAIRS):
+        local = stored(meet(asks, []).mapInPandas(_first(k), "query_id long, block int, vec_id long, part long"), "first")
     lows = local.where("vec_id is null").groupBy("query_id", "block").agg(F.min("part").alias("low"))
     floor = stored(lows.groupBy("query_id").agg(F.sum("low").alias("base"), F.map_from_entries(
         F.collect_list(F.struct("block", "low"))).alias("lows")), "floors")
@@ -175,8 +179,9 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
     # least share of the cutoff above the lowest addends that some node must reach; everything, where there are fewer than k
     cuts = stored(floor.join(tau1, "query_id", "left").select(
         "query_id", F.coalesce(F.ceil((F.col("tau") - F.col("base")) / F.lit(nodes)).cast("long"), F.lit(-1)).alias("share")), "cuts")
-    with_cut = asks.join(_cut_arrays(asks, floor.join(cuts, "query_id")), ["shard", "block"]).drop("shard")
-    sent = stored(meet(with_cut, ["cuts"]).mapInPandas(_second, "query_id long, block int, vec_id long, part long"), "second")
+    with_cut = stored(asks.join(_cut_arrays(asks, floor.join(cuts, "query_id")), ["shard", "block"]).drop("shard"), "cut")
+    with batches_of(spark, PAIRS):
+        sent = stored(meet(with_cut, ["cuts"]).mapInPandas(_second, "query_id long, block int, vec_id long, part long"), "second")
     # unknown addends are below the share, which bounds scores from above, and no less than the lowest, from below
     missing = F.lit(nodes) - F.col("m")
     known = stored(sent.groupBy("query_id", "vec_id").agg(F.sum("part").alias("known"), F.count("*").alias("m"), F.collect_list("block").alias("blocks"))

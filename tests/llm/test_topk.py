@@ -4,6 +4,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from rankspark.llm import topk
 from rankspark.llm.topk import top_k
 
 
@@ -47,3 +48,18 @@ def test_a_vector_that_very_many_rows_share(spark):
 
 def test_empty(spark):
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_pairs_of_shards_and_queries_are_not_broadcast(spark, monkeypatch):
+    plans, usual = {}, topk.stored
+
+    def kept(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return usual(df, label)
+
+    monkeypatch.setattr(topk, "stored", kept)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    top_k(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet"), shard_rows=10, pack=4, every=5)
+    for label in ("first", "second"):
+        assert "Broadcast" not in plans[label] and "Exchange" not in plans[label] and "CartesianProduct" in plans[label]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
