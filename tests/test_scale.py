@@ -1,10 +1,12 @@
 """What the shared steps shuffle and how many tasks they take."""
+import pathlib
+
 from pyspark.sql import functions as F
 
 from rankspark.functions.expr import r6
-from rankspark.operators import encodings, fitted, folds, keyed, lookups
+from rankspark.operators import encodings, fitted, folds, keyed, lookups, row_features
 from rankspark.operators.labels import add_relevance
-from rankspark.plans import features, workflows
+from rankspark.plans import features, queries_misc, workflows
 from rankspark.plans.catalog import QUERIES
 from rankspark.session import JIT_LIMIT, cut_lineage
 from rankspark.sources import tables
@@ -144,3 +146,88 @@ def test_rows_read_from_files_are_numbered_in_bounded_tasks(spark, monkeypatch,
     monkeypatch.setattr(tables, "TASK_ROWS", 200)
     dealt = tables.load_dataset(spark, str(tmp_path / "log"))
     assert dealt.rdd.getNumPartitions() == -(-len(want) // 200) and sorted(dealt.collect()) == want
+
+
+def _keys(spark):
+    log = row_features.add_cross_keys(tables.search_log(spark, SF).transform(add_relevance))
+    names = ("row_id", "srch_id", "prop_id", "srch_destination_id", "site_id", "random_bool", "position", "price_usd", "relevance", "dcg_gain",
+             "booking_bool", "click_bool", "_key_prop_dest", "_key_dest_site")
+    return cut_lineage(log.select(*names)), (("prop_id", "prop"), ("site_id", "site"), ("_key_prop_dest", "prop_dest"), ("_key_dest_site", "dest_site"))
+
+
+def test_passes_and_slices_give_the_same_rows_and_shuffle_a_part_at_once(spark, monkeypatch):
+    log, specs = _keys(spark)
+    own = cut_lineage(folds.group_folds(log, 3, 1))
+    fit, apply = log.where("srch_id % 5 <> 0"), log.where("srch_id % 5 = 0")
+    steps = {"frequency": lambda: fitted.add_frequency_features(fit, [apply], specs)[0],
+             "segments": lambda: fitted.add_segment_profiles(fit, [apply], [(a, k) for k, a in specs], ["price_usd"])[0],
+             "target": lambda: encodings.add_oof_target_encodings(fit, own, 40.0, specs), "position": lambda: encodings.add_oof_position_aggregates(fit, own, specs)}
+    monkeypatch.setattr(keyed, "LOCAL_VALUES", 20)  # the sites alone
+    kept, usual = [], keyed.materialize
+    monkeypatch.setattr(keyed, "materialize", lambda df, label: kept.append(label) or usual(df, label))
+    for name, step in steps.items():
+        want = step()
+        columns = sorted(c for c in want.columns if not c.startswith("_key"))
+        want = sorted(want.transform(lambda d: d.select(*[r6(F.col(c)).alias(c) if t == "double" else c for c, t in d.select(*columns).dtypes])).collect(), key=str)
+        assert "fitted" not in kept and "looked-up" not in kept
+        with monkeypatch.context() as m:
+            m.setattr(keyed, "PASS_CELLS", 12_000)
+            got = step()
+            got = sorted(got.select(*[r6(F.col(c)).alias(c) if t == "double" else c for c, t in got.select(*columns).dtypes]).collect(), key=str)
+        assert len(got) == len(want) > 500 and got == want, name
+        assert kept.count("fitted") >= 3 and kept.count("looked-up") >= 2, name
+        kept.clear()
+
+
+def test_item_profiles_fitted_in_passes_are_the_same(spark, monkeypatch, capsys):
+    log, _ = _keys(spark)
+    fit, apply = log.where("srch_id % 5 <> 0"), log.where("srch_id % 5 = 0")
+
+    def made():
+        out = fitted.add_prop_numeric_profiles(fit, apply)[1]
+        out.explain("extended")
+        return sorted(out.select("row_id", "prop_profile_price_usd_mean", "prop_profile_price_usd_median", "prop_profile_log_count").collect())
+
+    want = made()
+    dealt = [x for x in capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].splitlines() if "RepartitionByExpression" in x]
+    assert len(dealt) == 1 and "prop_id" in dealt[0]
+    monkeypatch.setattr(keyed, "PASS_CELLS", 3000)
+    assert made() == want
+
+
+def test_what_is_stored_for_a_step_alone_is_deleted(spark):
+    log, _ = _keys(spark)
+    base = spark.sparkContext._jvm.java.io.File(spark.conf.get("spark.checkpoint.dir"))
+    before = set(base.list())
+    fitted.bucket_edges(log, [("price_usd", "b", 4)]).collect()
+    assert set(base.list()) == before
+
+
+def test_rows_numbered_in_slices_are_the_same(spark, monkeypatch, tmp_path):
+    tables.search_log(spark, SF).drop("row_id").write.parquet(str(tmp_path / "log"))
+    want = sorted(tables.load_dataset(spark, str(tmp_path / "log")).collect(), key=str)
+    kept, usual = [], tables.materialize
+    monkeypatch.setattr(tables, "materialize", lambda df, label: kept.append(label) or usual(df, label))
+    monkeypatch.setattr(tables, "SLICE_ROWS", len(want) // 3)
+    monkeypatch.setattr(tables, "TASK_ROWS", 500)
+    assert sorted(tables.load_dataset(spark, str(tmp_path / "log")).collect(), key=str) == want and len(kept) >= 3
+
+
+def test_the_csv_is_compressed_and_goes_when_it_is_parquet(spark, monkeypatch):
+    seen = []
+    usual = queries_misc.convert_csv_to_parquet
+
+    def convert(spark, raw, out):
+        seen.append(raw := raw.removeprefix("file:"))
+        assert any(f.name.endswith(".csv.gz") for f in pathlib.Path(raw).iterdir())
+        return usual(spark, raw, out)
+
+    monkeypatch.setattr(queries_misc, "convert_csv_to_parquet", convert)
+    assert QUERIES["s2_s3_csv_to_parquet"](spark, SF).count() == tables.search_log(spark, SF).count()
+    assert len(seen) == 1 and not pathlib.Path(seen[0]).exists()
+
+
+def test_segments_of_equal_values_have_no_deviation(spark):
+    rows = spark.range(4200).selectExpr("id AS row_id", "pmod(id, 300) AS srch_destination_id", "sqrt(pmod(id, 300) + 2) / 3 AS prop_location_score1").repartition(7)
+    out = fitted.add_segment_profiles(rows, [rows], [("dest", "srch_destination_id")], ["prop_location_score1"])[0]
+    assert out.where("abs(dest_prop_location_score1_segment_zscore) > 1e-9").count() == 0
